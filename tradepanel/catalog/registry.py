@@ -27,7 +27,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Runner], Runner]:
 
 
 def _load() -> None:
-    from tradepanel.catalog import joins, projections, reshapes, scans  # noqa: F401
+    from tradepanel.catalog import (  # noqa: F401
+        aggregates, domain, joins, projections, reshapes, scalars, scans, windows,
+    )
 
 
 def runners() -> dict[str, Runner]:
