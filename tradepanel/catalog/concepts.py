@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradepanel.functions.pairs import canonical_pair
-from tradepanel.functions.scalars import MONEY, exact_sum, money
-from tradepanel.operators.windows import yearly_lag
+from tradepanel.functions.scalars import exact_sum
+from tradepanel.operators.skew import join_dimension
+from tradepanel.operators.windows import entity_lag, yearly_lag
 from tradepanel.plans import domain
 from tradepanel.session import materialise
 
@@ -24,8 +25,24 @@ CUT_YEAR = 1998
 PANEL_KEY = ["year", "partner", "hs_code", "product"]
 
 
+# Stated, not inferred: inference costs one job per table and query.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def brand_code(brand: str = "p_brand"):
@@ -35,12 +52,12 @@ def brand_code(brand: str = "p_brand"):
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with their year and the customer's nation and balance."""
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    rows = table(spark, folder, "orders")
     return (
-        table(spark, folder, "orders")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        join_dimension(rows, customer, "o_custkey", "c_custkey", ["o_orderkey"])
         .select(
             "o_orderkey", F.year("o_orderdate").alias("year"), F.col("c_nationkey").alias("buyer"),
-            money("c_acctbal").alias("buyer_balance"), money("o_totalprice").alias("total"), "o_orderdate",
+            F.col("c_acctbal").alias("buyer_balance"), F.col("o_totalprice").alias("total"), "o_orderdate",
         )
     )
 
@@ -48,20 +65,23 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines with both nations and the product."""
     supplier = table(spark, folder, "supplier").select(
-        "s_suppkey", F.col("s_nationkey").alias("seller"), money("s_acctbal").alias("seller_balance")
+        "s_suppkey", F.col("s_nationkey").alias("seller"), F.col("s_acctbal").alias("seller_balance")
     )
     part = table(spark, folder, "part").select(
         "p_partkey", brand_code().alias("hs_code"), F.col("p_type").alias("product")
     )
+    rows = table(spark, folder, "lineitem")
+    spread = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    joined = join_dimension(
+        rows, orders(spark, folder), "l_orderkey", "o_orderkey", spread, dim_scan=table(spark, folder, "orders")
+    )
+    joined = join_dimension(joined, supplier, "l_suppkey", "s_suppkey", spread, fact_scan=rows)
     return (
-        table(spark, folder, "lineitem")
-        .join(orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        join_dimension(joined, part, "l_partkey", "p_partkey", spread, fact_scan=rows)
         .select(
             "year", "buyer", "seller", "hs_code", "product", "buyer_balance", "seller_balance",
-            money("l_extendedprice").alias("value"), money("l_quantity").alias("quantity"),
-            money("l_tax").alias("tax"), money("l_discount").alias("discount"),
+            F.col("l_extendedprice").alias("value"), F.col("l_quantity").alias("quantity"),
+            F.col("l_tax").alias("tax"), F.col("l_discount").alias("discount"),
             "l_linestatus", "l_returnflag",
         )
     )
@@ -111,7 +131,7 @@ def home_gdp(all_gdp: DataFrame) -> DataFrame:
 def rate_of(rows: DataFrame) -> DataFrame:
     """Exchange rate: value per unit of quantity, per customer nation and year."""
     return rows.groupBy("buyer", "year").agg(
-        (F.sum("value").cast("double") / F.sum("quantity").cast("double")).alias("rate")
+        (exact_sum("value") / exact_sum("quantity")).alias("rate")
     )
 
 
@@ -128,7 +148,7 @@ def vote_columns() -> dict:
         "agree": (F.col("l_linestatus") == "F").cast("int"),
         "ideal_x": x,
         "ideal_y": y,
-        "distance": F.when(F.col("l_returnflag") != "R", (gap + F.col("discount")).cast(MONEY)),
+        "distance": F.when(F.col("l_returnflag") != "R", gap + F.col("discount")),
     }
 
 
@@ -173,8 +193,8 @@ def agreements_of(sums: DataFrame, spark: SparkSession, folder: str) -> DataFram
         sums.where(F.col("buyer") != F.col("seller"))
         .groupBy("year", low.alias("low"), high.alias("high"))
         .agg(
-            (F.sum("tax").cast("double") / F.sum("n") * 100).alias("tariff_pct"),
-            (F.sum("discount").cast("double") / F.sum("n") * 100).alias("export_weight"),
+            (exact_sum("tax") / F.sum("n") * 100).alias("tariff_pct"),
+            (exact_sum("discount") / F.sum("n") * 100).alias("export_weight"),
         )
         .withColumn("fta_weight", F.pmod(F.col("low") + F.col("high") + F.col("year"), F.lit(2)).cast("double"))
     )
@@ -189,7 +209,7 @@ def agreements_of(sums: DataFrame, spark: SparkSession, folder: str) -> DataFram
 
 def agreements(spark: SparkSession, folder: str) -> DataFrame:
     counted = lines(spark, folder).groupBy("year", "buyer", "seller").agg(
-        F.sum("tax").alias("tax"), F.sum("discount").alias("discount"), F.count(F.lit(1)).alias("n")
+        exact_sum("tax").alias("tax"), exact_sum("discount").alias("discount"), F.count(F.lit(1)).alias("n")
     )
     return agreements_of(counted, spark, folder)
 
@@ -206,17 +226,17 @@ def cube(spark: SparkSession, folder: str) -> DataFrame:
     Its size is set by years x nations x nations x products, not by the lines.
     """
     vote = vote_columns()
-    gap = F.abs(F.col("buyer_balance") - F.col("seller_balance")).cast(MONEY)
+    gap = F.abs(F.col("buyer_balance") - F.col("seller_balance"))
     valid = (F.col("buyer") != F.col("seller")) & vote["ideal_x"].isNotNull() & vote["ideal_y"].isNotNull()
     rows = (
         lines(spark, folder)
         .groupBy("year", "buyer", "seller", "hs_code", "product")
         .agg(
-            *[F.sum(c).alias(c) for c in ("value", "quantity", "tax", "discount")],
+            *[exact_sum(c).alias(c) for c in ("value", "quantity", "tax", "discount")],
             F.count(F.lit(1)).alias("n"),
             F.count_if(valid).alias("votes"),
             F.sum(F.when(valid, vote["agree"])).alias("agree"),
-            F.sum(F.when(valid, F.coalesce(vote["distance"], gap))).alias("distance"),
+            exact_sum(F.when(valid, F.coalesce(vote["distance"], gap)), 9).alias("distance"),
         )
     )
     return materialise(rows, "cube")
@@ -244,27 +264,21 @@ def panel(spark: SparkSession, folder: str) -> DataFrame:
         )
         .groupBy("year", canonical_pair("country1", "country2").alias("pair"))
         .agg(
-            (F.sum("agree").cast("double") / F.sum("votes")).alias("agree"),
-            (F.sum("distance").cast("double") / F.sum("votes")).alias("distance"),
+            (F.sum("agree") / F.sum("votes")).alias("agree"),
+            (exact_sum("distance", 9) / F.sum("votes")).alias("distance"),
         )
     )
-    outputs = gdp(spark, folder)
+    outputs = materialise(gdp(spark, folder), "gdp")
     adjusted_rows = domain.agreement_adjust(
         agreements_of(sums, spark, folder), tariff_weights(spark, folder), HOME, cut_year=CUT_YEAR
     )
-    lagged = domain_gdp_lag(outputs)
+    lagged = entity_lag(outputs, "partner", "gdp", "gdp_lag1")
     return domain.panel_build(
         pairs, balance, lagged, _named(rate_of(sums), spark, folder, "buyer"), adjusted_rows,
         home_gdp(outputs), HOME, FIRST_YEAR, LAST_YEAR,
     )
 
 
-def domain_gdp_lag(outputs: DataFrame) -> DataFrame:
-    from tradepanel.operators.windows import entity_lag
-
-    return entity_lag(outputs, "partner", "gdp", "gdp_lag1")
-
-
 # --- the same concepts in SQL -------------------------------------------------------
 
 _CTE: dict[str, tuple[list[str], str]] = {

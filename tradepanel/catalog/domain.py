@@ -9,7 +9,7 @@ from tradepanel.catalog.concepts import (
     with_tables, _named,
 )
 from tradepanel.catalog.registry import query
-from tradepanel.functions.scalars import exact_sum, log1p, money
+from tradepanel.functions.scalars import exact_sum, log1p
 from tradepanel.operators.reshape import widen
 from tradepanel.plans import domain
 from tradepanel.session import materialise
@@ -111,7 +111,7 @@ def geo(spark, folder):
     rows = panel(spark, folder).dropna().withColumns(
         {"rate_log": log1p("rate"), "distance": F.col("distance") / 1000}
     )
-    return domain.geo_aggregate(rows)
+    return domain.geo_aggregate(materialise(rows, "panel"))
 
 
 def scores(spark, folder):

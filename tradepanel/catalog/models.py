@@ -240,7 +240,8 @@ def holdout(spark, folder):
 
 
 def _panel_folds(spark, folder):
-    return validation.expanding_folds(written_model_rows(spark, folder), KEY)
+    """Model rows with their time fold, written once for all fits."""
+    return materialise(validation.expanding_folds(written_model_rows(spark, folder), KEY), "folded")
 
 
 @query("coef_avg")
@@ -274,7 +275,7 @@ def grid_search(spark, folder):
 @query("model_compare")
 def model_compare(spark, folder):
     """Mean fold metrics per kind of model, and the best one by R2."""
-    folded = materialise(_panel_folds(spark, folder), "folded")
+    folded = _panel_folds(spark, folder)
     kinds = {
         "ols": ("ols", {}), "ridge": ("ridge", {"alpha": 1.0}), "lasso": ("lasso", {"alpha": 0.1}),
         "forest": ("forest", {"trees": 5, "depth": 5}), "boost": ("boost", {"trees": 3, "depth": 3}),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tradepanel.catalog.concepts import HOME, LAST_HISTORY, brand_code, pair_means, table, trade, with_tables
 from tradepanel.catalog.registry import query
-from tradepanel.functions.scalars import differs, mean_of, money
+from tradepanel.functions.scalars import differs, mean_of
 from tradepanel.operators import filters, project
 from tradepanel.plans import domain
 
@@ -156,7 +156,7 @@ def key_alignment(spark, folder):
     part = table(spark, folder, "part").withColumn("hs_code", brand_code())
     counts = part.groupBy(F.col("p_type").alias("product"), "hs_code").agg(F.count(F.lit(1)).alias("parts"))
     prices = part.groupBy(F.col("p_type").alias("product"), F.col("hs_code").cast("bigint").alias("hs_code")).agg(
-        mean_of(money("p_retailprice")).alias("mean_price")
+        mean_of("p_retailprice").alias("mean_price")
     )
     left, right = project.align_keys(counts, prices, {"product": "string", "hs_code": "string"})
     return left.join(right, ["product", "hs_code"], "full")

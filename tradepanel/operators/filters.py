@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 
 def keep_members(df: DataFrame, members: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key is in ``members``."""
-    return df.join(members, list(on), "left_semi")
+    """Rows whose key is in ``members``, whose keys are made unique before the shuffle."""
+    return df.join(members.select(*on).distinct(), list(on), "left_semi")
 
 
 def drop_members(df: DataFrame, members: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``members``; rows with a null key stay."""
-    return df.join(members, list(on), "left_anti")
+    return df.join(members.select(*on).distinct(), list(on), "left_anti")
 
 
 def not_in(c: str, values: Sequence) -> Column:

@@ -80,29 +80,42 @@ def drop_leading_rows(df: DataFrame, count: int, order: Sequence[Column | str])
 def group_median(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Exact interpolating median of each column per group, for groups of any size.
 
-    Values are sorted once across the cluster; the one or two middle positions of each
-    group are then fetched by row position, so no group is held in a single task.
-    Groups whose values are all null give no row.
+    Equal values are counted first, so ties cost nothing. The distinct values are then
+    range-sorted, and a group that is spread over several sort partitions stays so: the
+    small table of (group, partition) row counts tells which piece holds the middle, and
+    only that piece is searched. Groups whose values are all null give no row.
     """
     keys = list(keys)
-    values = df.select(
-        *keys,
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("m"), F.col(c).cast("double").alias("v")) for c in columns])
-        ).alias("_x"),
-    ).select(*keys, F.col("_x.m").alias("_measure"), F.col("_x.v").alias("_value"))
-    values = values.where(F.col("_value").isNotNull())
-    for key in keys:
-        values = values.where(F.col(key).isNotNull())
-    indexed = with_row_index(values, [*keys, "_measure", "_value"])
-    spans = indexed.groupBy(*keys, "_measure").agg(
-        F.min(INDEX).alias("_start"), F.count(F.lit(1)).alias("_rows")
+    group = [*keys, "_measure"]
+    cells = F.array(*[F.struct(F.lit(c).alias("m"), F.col(c).cast("double").alias("v")) for c in columns])
+    values = df.dropna(subset=keys).select(*keys, F.explode(cells).alias("_x"))
+    counted = (
+        values.where(F.col("_x.v").isNotNull())
+        .groupBy(*keys, F.col("_x.m").alias("_measure"), F.col("_x.v").alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    middle = F.array(
-        F.col("_start") + F.floor((F.col("_rows") - 1) / 2), F.col("_start") + F.floor(F.col("_rows") / 2)
+    piece = [*group, "_part"]
+    ordered = materialise(
+        counted.orderBy(*group, "_value").withColumn("_part", F.spark_partition_id()), "ordered"
+    )
+    # one row per group and sort partition
+    sizes = ordered.groupBy(*piece).agg(F.sum("_n").alias("_size"))
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("_size").over(whole)
+    middles = F.array(F.floor((total - 1) / 2), F.floor(total / 2))
+    wanted = (
+        sizes.withColumns({"_before": F.coalesce(F.sum("_size").over(before), F.lit(0)), "_middles": middles})
+        .select(*piece, "_size", "_before", F.posexplode("_middles").alias("_side", "_at"))
+        .where((F.col("_at") >= F.col("_before")) & (F.col("_at") < F.col("_before") + F.col("_size")))
+        .select(*piece, "_side", (F.col("_at") - F.col("_before")).alias("_at"))
+    )
+    running = F.sum("_n").over(Window.partitionBy(*piece, "_side").orderBy("_value"))
+    picked = (
+        ordered.join(wanted, piece)
+        .withColumn("_upto", running)
+        .where((F.col("_at") < F.col("_upto")) & (F.col("_at") >= F.col("_upto") - F.col("_n")))
     )
-    wanted = spans.select(*keys, "_measure", F.explode(middle).alias(INDEX))
-    picked = wanted.join(indexed.select(INDEX, "_value"), INDEX)
     return picked.groupBy(*keys).agg(
         *[F.avg(F.when(F.col("_measure") == c, F.col("_value"))).alias(c) for c in columns]
     )

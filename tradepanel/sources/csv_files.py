@@ -54,14 +54,12 @@ def read_preamble_csv(
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
     """Parquet sink; partition columns (for example the year) become folders.
 
-    Rows are first spread by the partition columns plus a hash of the whole row, so that
-    one very large year is written by several tasks and small years by few files.
+    Rows are rebalanced by the partition columns first: adaptive execution then splits a
+    very large year over several tasks and packs small ones, so that neither one task nor
+    a mass of small files results.
     """
-    writer = df
-    if partition_by:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-        writer = df.repartition(*partition_by, spread)
-    writer.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    balanced = df.hint("rebalance", *partition_by) if partition_by else df
+    balanced.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
