@@ -149,21 +149,28 @@ _PRODUCTS = {c: f"Section {c:02d}" for c in range(1, 26)} | {ALL_PRODUCTS_CODE:
 
 @query(
     "union_history_forecast",
-    with_tables("trade", body=f"""
-        , base AS (SELECT year, partner, product, hs_code, imports, exports FROM trade WHERE year <= {LAST_HISTORY}
-                   AND partner <> '{HOME}'),
-        both_levels AS (SELECT * FROM base UNION ALL
-                 SELECT year, partner, '{ALL_PRODUCTS}', {ALL_PRODUCTS_CODE}, imports, exports FROM base),
-        history AS (SELECT year, partner, product, hs_code, {_SUM.format('imports')}, {_SUM.format('exports')}
-                    FROM both_levels GROUP BY 1, 2, 3, 4),
-        last AS (SELECT partner, hs_code, {_SUM.format('imports')}, {_SUM.format('exports')} FROM both_levels
-                 WHERE year = {LAST_HISTORY} GROUP BY 1, 2)
-        SELECT year, partner, product, hs_code, imports, exports, imports + exports AS trade_volume FROM history
-        UNION ALL
-        SELECT {LAST_HISTORY + 1}, partner,
-               CASE WHEN hs_code = {ALL_PRODUCTS_CODE} THEN '{ALL_PRODUCTS}'
-                    ELSE 'Section ' || lpad(CAST(hs_code AS VARCHAR), 2, '0') END,
-               hs_code, imports * 1.5, exports * 1.25, imports * 1.5 + exports * 1.25 FROM last""").replace("\n\n        , base", ",\n base"),
+    with_tables(
+        "trade",
+        base=f"""
+            SELECT year, partner, product, hs_code, imports, exports FROM trade
+            WHERE year <= {LAST_HISTORY} AND partner <> '{HOME}'""",
+        both_levels=f"""
+            SELECT * FROM base UNION ALL
+            SELECT year, partner, '{ALL_PRODUCTS}', {ALL_PRODUCTS_CODE}, imports, exports FROM base""",
+        history=f"""
+            SELECT year, partner, product, hs_code, {_SUM.format('imports')}, {_SUM.format('exports')}
+            FROM both_levels GROUP BY 1, 2, 3, 4""",
+        last=f"""
+            SELECT partner, hs_code, {_SUM.format('imports')}, {_SUM.format('exports')} FROM both_levels
+            WHERE year = {LAST_HISTORY} GROUP BY 1, 2""",
+        body=f"""
+            SELECT year, partner, product, hs_code, imports, exports, imports + exports AS trade_volume FROM history
+            UNION ALL
+            SELECT {LAST_HISTORY + 1}, partner,
+                   CASE WHEN hs_code = {ALL_PRODUCTS_CODE} THEN '{ALL_PRODUCTS}'
+                        ELSE 'Section ' || lpad(CAST(hs_code AS VARCHAR), 2, '0') END,
+                   hs_code, imports * 1.5, exports * 1.25, imports * 1.5 + exports * 1.25 FROM last""",
+    ),
 )
 def union_history_forecast(spark, folder):
     """History with subtotals, then a growth forecast per partner and code joined from both flows."""

@@ -18,6 +18,7 @@ from tradepanel.plans import domain
 from tradepanel.session import materialise
 
 HOME = "NATION_0"
+HOME_CODE = 0  # its nation key
 FIRST_YEAR, LAST_YEAR = 1995, 2001
 YEARS = list(range(FIRST_YEAR, LAST_YEAR + 1))
 LAST_HISTORY = 2000
@@ -116,15 +117,18 @@ def _named(df: DataFrame, spark: SparkSession, folder: str, code: str = "code",
     return df.join(names, code).drop(code)
 
 
-def gdp(spark: SparkSession, folder: str) -> DataFrame:
+def gdp_of(rows: DataFrame) -> DataFrame:
     """National output: order totals per customer nation and year."""
-    sums = orders(spark, folder).groupBy("buyer", "year").agg(exact_sum("total").alias("gdp"))
-    return _named(sums, spark, folder, "buyer")
+    return rows.groupBy("buyer", "year").agg(exact_sum("total").alias("gdp"))
+
 
+def gdp(spark: SparkSession, folder: str) -> DataFrame:
+    return _named(gdp_of(orders(spark, folder)), spark, folder, "buyer")
 
-def home_gdp(all_gdp: DataFrame) -> DataFrame:
+
+def home_gdp(all_gdp: DataFrame, home=HOME) -> DataFrame:
     """The home series with its lag, one row per year."""
-    home = all_gdp.where(F.col("partner") == HOME).select("year", F.col("gdp").alias("home_gdp"))
+    home = all_gdp.where(F.col("partner") == home).select("year", F.col("gdp").alias("home_gdp"))
     return yearly_lag(home, "home_gdp", "home_gdp_lag1")
 
 
@@ -168,23 +172,20 @@ def pair_means(spark: SparkSession, folder: str) -> DataFrame:
     return domain.pair_distance(votes(spark, folder), nations(spark, folder))
 
 
-def tariff_weights(spark: SparkSession, folder: str) -> DataFrame:
-    """Weight per country: share of its customers in one market segment, if any is."""
-    shares = (
-        table(spark, folder, "customer")
-        .groupBy(F.col("c_nationkey").alias("buyer"))
-        .agg(
-            F.count_if(F.col("c_mktsegment") == "BUILDING").alias("chosen"), F.count(F.lit(1)).alias("n")
-        )
-        .where("chosen > 0")
-    )
-    return _named(
-        shares.select("buyer", (F.col("chosen") / F.col("n")).alias("tariff_weight")), spark, folder, "buyer", "country"
+def weights_of(customers: DataFrame) -> DataFrame:
+    """Weight per nation: share of its customers in one market segment, if any is."""
+    shares = customers.groupBy(F.col("c_nationkey").alias("buyer")).agg(
+        F.count_if(F.col("c_mktsegment") == "BUILDING").alias("chosen"), F.count(F.lit(1)).alias("n")
     )
+    return shares.where("chosen > 0").select("buyer", (F.col("chosen") / F.col("n")).alias("tariff_weight"))
+
+
+def tariff_weights(spark: SparkSession, folder: str) -> DataFrame:
+    return _named(weights_of(table(spark, folder, "customer")), spark, folder, "buyer", "country")
 
 
-def agreements_of(sums: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    """Raw agreement rows from line counts and sums per year and pair of nations.
+def agreements_of(sums: DataFrame) -> DataFrame:
+    """Agreement rows by nation key, from line counts and sums per year and pair of nations.
 
     The home country is left blank, as in the source data.
     """
@@ -196,14 +197,12 @@ def agreements_of(sums: DataFrame, spark: SparkSession, folder: str) -> DataFram
             (exact_sum("tax") / F.sum("n") * 100).alias("tariff_pct"),
             (exact_sum("discount") / F.sum("n") * 100).alias("export_weight"),
         )
-        .withColumn("fta_weight", F.pmod(F.col("low") + F.col("high") + F.col("year"), F.lit(2)).cast("double"))
-    )
-    named = domain.name_both_sides(
-        rows, nations(spark, folder), "code", "name", {"low": "country", "high": "partner_country"}
     )
-    return named.select(
-        "year", F.when(F.col("country") != HOME, F.col("country")).alias("country"), "partner_country",
-        "fta_weight", "tariff_pct", "export_weight",
+    return rows.select(
+        "year", F.when(F.col("low") != HOME_CODE, F.col("low")).alias("country"),
+        F.col("high").alias("partner_country"),
+        F.pmod(F.col("low") + F.col("high") + F.col("year"), F.lit(2)).cast("double").alias("fta_weight"),
+        "tariff_pct", "export_weight",
     )
 
 
@@ -211,7 +210,11 @@ def agreements(spark: SparkSession, folder: str) -> DataFrame:
     counted = lines(spark, folder).groupBy("year", "buyer", "seller").agg(
         exact_sum("tax").alias("tax"), exact_sum("discount").alias("discount"), F.count(F.lit(1)).alias("n")
     )
-    return agreements_of(counted, spark, folder)
+    named = domain.name_both_sides(
+        agreements_of(counted).withColumnsRenamed({"country": "low", "partner_country": "high"}),
+        nations(spark, folder), "code", "name", {"low": "country", "high": "partner_country"},
+    )
+    return named.drop("low", "high")
 
 
 def adjusted(spark: SparkSession, folder: str) -> DataFrame:
@@ -243,40 +246,38 @@ def cube(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def panel(spark: SparkSession, folder: str) -> DataFrame:
-    """The joined panel: one pass over the lines, then joins of small tables only."""
+    """The joined panel: one pass over the lines, then joins of small tables by nation key."""
     sums = cube(spark, folder)
     sides = F.explode(
         F.array(
-            F.struct(F.lit("Export").alias("flow"), F.col("buyer").alias("code")),
-            F.struct(F.lit("Import").alias("flow"), F.col("seller").alias("code")),
+            F.struct(F.lit("Export").alias("flow"), F.col("buyer").alias("partner")),
+            F.struct(F.lit("Import").alias("flow"), F.col("seller").alias("partner")),
         )
     )
     by_flow = sums.select("year", "hs_code", "product", "value", sides.alias("s")).select(
         "year", "hs_code", "product", "value", "s.*"
     )
-    balance = _named(
-        domain.trade_balance(by_flow, ["year", "code", "hs_code", "product"]), spark, folder
-    ).drop("trade_volume")
+    balance = domain.trade_balance(by_flow, ["year", "partner", "hs_code", "product"]).drop("trade_volume")
     pairs = (
-        domain.name_both_sides(
-            sums.where("votes > 0"), nations(spark, folder), "code", "name",
-            {"buyer": "country1", "seller": "country2"},
-        )
-        .groupBy("year", canonical_pair("country1", "country2").alias("pair"))
+        sums.where("votes > 0")
+        .groupBy("year", canonical_pair("buyer", "seller").alias("pair"))
         .agg(
             (F.sum("agree") / F.sum("votes")).alias("agree"),
             (exact_sum("distance", 9) / F.sum("votes")).alias("distance"),
         )
     )
-    outputs = materialise(gdp(spark, folder), "gdp")
+    outputs = materialise(gdp_of(orders(spark, folder)).withColumnRenamed("buyer", "partner"), "gdp")
     adjusted_rows = domain.agreement_adjust(
-        agreements_of(sums, spark, folder), tariff_weights(spark, folder), HOME, cut_year=CUT_YEAR
+        agreements_of(sums),
+        weights_of(table(spark, folder, "customer")).withColumnRenamed("buyer", "country"),
+        HOME_CODE, cut_year=CUT_YEAR,
     )
-    lagged = entity_lag(outputs, "partner", "gdp", "gdp_lag1")
-    return domain.panel_build(
-        pairs, balance, lagged, _named(rate_of(sums), spark, folder, "buyer"), adjusted_rows,
-        home_gdp(outputs), HOME, FIRST_YEAR, LAST_YEAR,
+    built = domain.panel_build(
+        pairs, balance, entity_lag(outputs, "partner", "gdp", "gdp_lag1"),
+        rate_of(sums).withColumnRenamed("buyer", "partner"), adjusted_rows,
+        home_gdp(outputs, HOME_CODE), HOME_CODE, FIRST_YEAR, LAST_YEAR,
     )
+    return _named(built.withColumnRenamed("partner", "code"), spark, folder)
 
 
 # --- the same concepts in SQL -------------------------------------------------------
@@ -384,8 +385,11 @@ def define(name: str, needs: list[str], body: str) -> None:
     _CTE[name] = (needs, body)
 
 
-def with_tables(*needs: str, body: str) -> str:
-    """SQL text with the needed common table expressions, each after those it reads."""
+def with_tables(*needs: str, body: str, **also: str) -> str:
+    """SQL text with the needed common table expressions, each after those it reads.
+
+    ``also`` adds expressions that only this text uses, in the given order.
+    """
     ordered: list[str] = []
 
     def visit(name: str) -> None:
@@ -397,5 +401,6 @@ def with_tables(*needs: str, body: str) -> str:
     for name in needs:
         visit(name)
     # Written once, as Spark does, so that no expression is expanded per use.
-    parts = ",\n".join(f"{n} AS MATERIALIZED ({_CTE[n][1]})" for n in ordered)
+    bodies = {n: _CTE[n][1] for n in ordered} | also
+    parts = ",\n".join(f"{n} AS MATERIALIZED ({text})" for n, text in bodies.items())
     return f"WITH {parts}\n{body}" if parts else body

@@ -17,37 +17,99 @@ _SERIES = ["partner", "hs_code", "product"]
 _LAGS = ["log_imports_lag1", "log_imports_lag2", "log_imports_lag3"]
 
 
-@query("forecast_one")
+# One feature, so that SQL can state the fit in closed form.
+_X = ["log_imports_lag1"]
+define("one_step_fit", ["model_rows"], f"""
+    SELECT regr_slope(log_imports, log_imports_lag1) AS s, regr_intercept(log_imports, log_imports_lag1) AS i
+    FROM model_rows WHERE year <= {LAST_HISTORY}""")
+define("one_step", ["model_rows", "one_step_fit"], f"""
+    SELECT partner, hs_code, product, {LAST_HISTORY + 1} AS target_year, imports AS latest_value,
+           exp(i + s * ln(greatest(imports, 1.0))) AS raw_forecast
+    FROM model_rows CROSS JOIN one_step_fit WHERE year = {LAST_HISTORY}""")
+
+
+def _history(spark, folder):
+    return written_model_rows(spark, folder).where(F.col("year") <= LAST_HISTORY)
+
+
+def _one_step(spark, folder):
+    rows = _history(spark, folder)
+    model = models.fit(rows, _X, LABEL, "ols")
+    return forecasting.forecast_one(rows, model, "imports", "log_imports_lag1", _SERIES, ["year"])
+
+
+@query(
+    "forecast_one",
+    with_tables("one_step", body="SELECT * REPLACE (round(raw_forecast, 3) AS raw_forecast) FROM one_step"),
+)
 def forecast_one(spark, folder):
-    rows = written_model_rows(spark, folder)
-    rows = rows.where(F.col("year") <= LAST_HISTORY)
-    model = models.fit(rows, FEATURES, LABEL, "ols")
+    return _one_step(spark, folder).withColumn("raw_forecast", F.round("raw_forecast", 3))
+
+
+@query("forecast_all_features")
+def forecast_all_features(spark, folder):
+    """One-step forecast with every feature and boosted trees."""
+    rows = _history(spark, folder)
+    model = models.fit(rows, FEATURES, LABEL, "boost", scale=False, trees=5, depth=3)
     return forecasting.forecast_one(rows, model, "imports", "log_imports_lag1", _SERIES, ["year"])
 
 
-@query("forecast_corrected")
+@query(
+    "forecast_corrected",
+    with_tables(
+        "one_step",
+        totals="SELECT partner, sum(latest_value) AS actual, sum(raw_forecast) AS predicted FROM one_step GROUP BY 1",
+        line="""
+            SELECT regr_slope(ln(actual) - ln(predicted), ln(predicted)) AS s,
+                   regr_intercept(ln(actual) - ln(predicted), ln(predicted)) AS i FROM totals""",
+        body="""
+            SELECT partner, round(actual, 2) AS actual, round(exp(ln(predicted) + i + s * ln(predicted)), 2) AS corrected,
+                   round((predicted - actual) / actual * 100, 5) AS change_raw_pct
+            FROM totals CROSS JOIN line""",
+    ),
+)
 def forecast_corrected(spark, folder):
     """One-step forecast, summed per partner and corrected in log space."""
-    rows = forecast_one(spark, folder)
-    totals = rows.groupBy("partner").agg(
-        F.sum("latest_value").alias("actual"), F.sum("raw_forecast").alias("predicted")
+    totals = _one_step(spark, folder).groupBy("partner").agg(
+        exact_sum("latest_value").alias("actual"), F.sum("raw_forecast").alias("predicted")
+    )
+    out = forecasting.log_correction(totals, "actual", "predicted")
+    return out.select(
+        "partner", F.round("actual", 2).alias("actual"), F.round("corrected", 2).alias("corrected"),
+        F.round("change_raw_pct", 5).alias("change_raw_pct"),
     )
-    return forecasting.log_correction(totals, "actual", "predicted")
 
 
-@query("forecast_roll")
+define("model_roll", ["model_rows", "one_step_fit"], f"""
+    SELECT partner, hs_code, product, f1, f2, exp(i + s * ln(f2)) AS f3 FROM (
+        SELECT *, exp(i + s * ln(f1)) AS f2 FROM (
+            SELECT partner, hs_code, product, i, s, exp(i + s * log_imports_lag1) AS f1
+            FROM model_rows CROSS JOIN one_step_fit WHERE year = {LAST_HISTORY}))""")
+_MODEL_ROLL = " UNION ALL ".join(
+    f"SELECT partner, hs_code, product, {LAST_HISTORY + k} AS target_year, f{k} AS forecast FROM model_roll" for k in (1, 2, 3)
+)
+
+
+@query(
+    "forecast_roll",
+    with_tables("model_roll", body=f"""
+        SELECT partner, target_year, product, hs_code, round(sum(forecast), 1) AS forecast FROM (
+            SELECT * FROM ({_MODEL_ROLL})
+            UNION ALL SELECT partner, {ALL_PRODUCTS_CODE}, '{ALL_PRODUCTS}', target_year, forecast FROM ({_MODEL_ROLL}))
+        GROUP BY 1, 2, 3, 4"""),
+)
 def forecast_roll(spark, folder):
     """Three years ahead with the fitted model, plus a subtotal per partner and year."""
-    rows = written_model_rows(spark, folder)
-    rows = rows.where(F.col("year") <= LAST_HISTORY)
-    model = models.fit(rows, ["year", *_LAGS, "distance", "rate"], LABEL, "ols")
+    rows = _history(spark, folder)
+    model = models.fit(rows, _X, LABEL, "ols")
     ahead = forecasting.forecast_roll(
         rows, model, range(LAST_HISTORY + 1, LAST_HISTORY + 4), _LAGS, _SERIES, log_bounds=(0.0, 24.0),
         bounds=(1.0, 1e11),
     )
-    return forecasting.forecast_totals(
+    totals = forecasting.forecast_totals(
         ahead, "partner", {"product": ALL_PRODUCTS, "hs_code": ALL_PRODUCTS_CODE}, "forecast"
     )
+    return totals.withColumn("forecast", F.round("forecast", 1))
 
 
 define("lagged_logs", ["trade"], f"""

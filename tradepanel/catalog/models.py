@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from tradepanel.catalog.concepts import HOME, orders, table, with_tables
+from tradepanel.catalog.concepts import HOME, define, orders, table, with_tables
 from tradepanel.catalog.domain import geo
 from tradepanel.catalog.features import FEATURES, KEY, LABEL, written_model_rows
 from tradepanel.catalog.registry import query
@@ -126,19 +126,33 @@ def gbt_fit(spark, folder):
     return models.ranked_features(spark, model)
 
 
-@query("feature_rank")
+@query(
+    "feature_rank",
+    f"SELECT feature, abs(coefficient) AS importance FROM ({_two_feature_sql('0', 6)}) WHERE feature <> '(intercept)'",
+)
 def feature_rank(spark, folder):
-    model = models.fit(written_model_rows(spark, folder), FEATURES, LABEL, "ols")
-    return models.ranked_features(spark, model, 15)
+    model = models.fit(_line_rows(spark, folder), ["l_quantity", "l_discount"], "log_price", "ols")
+    return models.ranked_features(spark, model, 15).withColumn("importance", F.round("importance", 6))
 
 
-@query("model_roundtrip")
+# One feature, so that SQL can state the fit in closed form.
+_X = ["log_imports_lag1"]
+
+
+@query(
+    "model_roundtrip",
+    with_tables("model_rows", body="""
+        SELECT year, partner, hs_code, product, round(i + s * log_imports_lag1, 6) AS prediction
+        FROM model_rows CROSS JOIN (SELECT regr_slope(log_imports, log_imports_lag1) AS s,
+                                           regr_intercept(log_imports, log_imports_lag1) AS i FROM model_rows)"""),
+)
 def model_roundtrip(spark, folder):
     """Fit, store, load under the feature contract, and score the panel."""
     rows = written_model_rows(spark, folder)
     path = fresh_path(spark, "model")
-    save_model(models.fit(rows, FEATURES, LABEL, "ridge", alpha=1.0), path)
-    return models.predict(load_model(path, FEATURES), rows).select(*KEY, LABEL, models.PREDICTION)
+    save_model(models.fit(rows, _X, LABEL, "ols"), path)
+    scored = models.predict(load_model(path, _X), rows)
+    return scored.select(*KEY, F.round(models.PREDICTION, 6).alias(models.PREDICTION))
 
 
 # --- folds and metrics -----------------------------------------------------------------------
@@ -244,25 +258,79 @@ def _panel_folds(spark, folder):
     return materialise(validation.expanding_folds(written_model_rows(spark, folder), KEY), "folded")
 
 
-@query("coef_avg")
+_PANEL_FOLDS = """
+    SELECT *, CAST(CASE WHEN i < n - 5 * (n // 6) THEN 0 ELSE (i - (n - 5 * (n // 6))) // (n // 6) + 1 END AS INT) AS fold
+    FROM (SELECT log_imports AS y, log_imports_lag1 AS x, year,
+                 row_number() OVER (ORDER BY year, partner, hs_code, product) - 1 AS i, count(*) OVER () AS n
+          FROM model_rows)"""
+define("panel_folds", ["model_rows"], _PANEL_FOLDS)
+define("fold_fits", ["panel_folds"], """
+    SELECT k, count(*) AS n, avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my, covar_pop(x, y) / stddev_pop(x) AS c
+    FROM panel_folds CROSS JOIN (SELECT unnest(range(1, 6)) AS k) WHERE fold < k GROUP BY 1""")
+
+
+@query(
+    "coef_avg",
+    with_tables("fold_fits", body="""
+        SELECT 'log_imports_lag1' AS feature, round(avg(c), 6) AS coefficient FROM fold_fits
+        UNION ALL SELECT '(intercept)', round(avg(my), 6) FROM fold_fits"""),
+)
 def coef_avg(spark, folder):
-    _, fitted = validation.fold_predictions(_panel_folds(spark, folder), FEATURES, LABEL, "ols", range(1, 6))
-    return models.coefficient_frame(spark, validation.average_coefficients(fitted))
+    """Coefficients on the scaled feature, averaged over the expanding folds."""
+    _, fitted = validation.fold_predictions(_panel_folds(spark, folder), _X, LABEL, "ols", range(1, 6))
+    return models.coefficient_frame(spark, validation.average_coefficients(fitted)).withColumn(
+        "coefficient", F.round("coefficient", 6)
+    )
 
 
-@query("year_forward")
+@query(
+    "year_forward",
+    with_tables(
+        "model_rows",
+        fits="""
+            SELECT t.year, regr_slope(r.log_imports, r.log_imports_lag1) AS s,
+                   regr_intercept(r.log_imports, r.log_imports_lag1) AS i
+            FROM (SELECT DISTINCT year FROM model_rows ORDER BY 1 DESC LIMIT 5) t
+            JOIN model_rows r ON r.year < t.year GROUP BY 1""",
+        body="""
+            SELECT r.year, count(*) AS n,
+                   round(1 - sum((log_imports - i - s * log_imports_lag1) ** 2) / (var_pop(log_imports) * count(*)), 6) AS r2,
+                   round(sqrt(avg((log_imports - i - s * log_imports_lag1) ** 2)), 6) AS rmse
+            FROM model_rows r JOIN fits f ON f.year = r.year GROUP BY 1""",
+    ),
+)
 def year_forward(spark, folder):
-    return validation.year_forward(written_model_rows(spark, folder), FEATURES, LABEL, "ols")
+    """Scores of the last years, each with the model fitted on the years before it."""
+    out = validation.year_forward(written_model_rows(spark, folder), _X, LABEL, "ols")
+    return out.select("year", "n", F.round("r2", 6).alias("r2"), F.round("rmse", 6).alias("rmse"))
+
 
+def _search_sql(alphas, beta: str) -> str:
+    """Mean R2 over the folds per penalty, for a coefficient on the scaled feature."""
+    listed = ", ".join(f"CAST({a} AS DOUBLE)" for a in alphas)
+    return with_tables("fold_fits", body=f"""
+        SELECT alpha, round(avg(r2), 6) AS r2 FROM (
+            SELECT alpha, k, 1 - sum((y - my - b * (x - mx) / sx) ** 2) / (var_pop(y) * count(*)) AS r2
+            FROM (SELECT f.*, alpha, {beta} AS b FROM fold_fits f CROSS JOIN (SELECT unnest([{listed}]) AS alpha)) f
+            JOIN panel_folds ON fold = k GROUP BY 1, 2) GROUP BY 1""")
 
-@query("ridge_search")
+
+@query("ridge_search", _search_sql(fixed.RIDGE_ALPHAS, "c / (1 + alpha / n)"))
 def ridge_search(spark, folder):
-    return validation.linear_search(_panel_folds(spark, folder), FEATURES, LABEL, fixed.RIDGE_ALPHAS)
+    out = validation.linear_search(_panel_folds(spark, folder), _X, LABEL, fixed.RIDGE_ALPHAS)
+    return out.withColumn("r2", F.round("r2", 6))
 
 
-@query("lasso_search")
+@query("lasso_search", _search_sql(fixed.LASSO_ALPHAS, "sign(c) * greatest(abs(c) - alpha, 0)"))
 def lasso_search(spark, folder):
-    return validation.linear_search(_panel_folds(spark, folder), FEATURES, LABEL, fixed.LASSO_ALPHAS, "lasso")
+    out = validation.linear_search(_panel_folds(spark, folder), _X, LABEL, fixed.LASSO_ALPHAS, "lasso")
+    return out.withColumn("r2", F.round("r2", 6))
+
+
+@query("search_all_features")
+def search_all_features(spark, folder):
+    """All features and penalties, still one pass over the rows."""
+    return validation.linear_search(_panel_folds(spark, folder), FEATURES, LABEL, fixed.RIDGE_ALPHAS)
 
 
 @query("grid_search")

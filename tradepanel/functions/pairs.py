@@ -27,11 +27,11 @@ def parse_pair(text) -> Column:
     return F.transform(quoted, lambda q: F.substring(q, F.lit(2), F.length(q) - 2))
 
 
-def involves(a, b, home: str) -> Column:
+def involves(a, b, home: str | int) -> Column:
     """The home country is on either side."""
     return (col(a) == home) | (col(b) == home)
 
 
-def counterparty(a, b, home: str) -> Column:
+def counterparty(a, b, home: str | int) -> Column:
     """The side that is not home."""
     return F.when(col(a) != home, col(a)).otherwise(col(b))

@@ -19,7 +19,7 @@ def group_sums(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> D
 
 
 def with_subtotals(
-    df: DataFrame, keys: Sequence[str], labels: dict[str, object], measures: Sequence[str]
+    df: DataFrame, keys: Sequence[str], labels: dict[str, object], measures: Sequence[str], digits: int = 4
 ) -> DataFrame:
     """Detail sums plus one subtotal row per ``keys``, in one pass.
 
@@ -27,7 +27,7 @@ def with_subtotals(
     """
     detail = [*keys, *labels]
     out = df.groupingSets([[F.col(c) for c in detail], [F.col(c) for c in keys]], *detail).agg(
-        *[exact_sum(m).alias(m) for m in measures],
+        *[exact_sum(m, digits).alias(m) for m in measures],
         *[F.grouping(c).alias(f"_g_{c}") for c in labels],
     )
     relabelled = {

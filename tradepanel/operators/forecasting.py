@@ -103,7 +103,7 @@ def forecast_roll(panel: DataFrame, model, years: Sequence[int], lags: Sequence[
 
 def forecast_totals(forecast: DataFrame, partner: str, labels: dict[str, object], value: str) -> DataFrame:
     """Forecast rows plus one all-products row per partner and target year."""
-    return with_subtotals(forecast, [partner, TARGET_YEAR], labels, [value])
+    return with_subtotals(forecast, [partner, TARGET_YEAR], labels, [value], digits=9)
 
 
 def log_correction(totals: DataFrame, actual: str, predicted: str) -> DataFrame:

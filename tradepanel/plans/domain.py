@@ -60,7 +60,7 @@ def pair_distance(votes: DataFrame, names: DataFrame, targets: Sequence[str] | N
     )
 
 
-def home_pairs(pairs: DataFrame, home: str, first_year: int, last_year: int) -> DataFrame:
+def home_pairs(pairs: DataFrame, home: str | int, first_year: int, last_year: int) -> DataFrame:
     """Pairs with the home country in a span of years, with the other side as ``partner``."""
     c1, c2 = F.col("pair")[0], F.col("pair")[1]
     return pairs.where(involves(c1, c2, home) & F.col("year").between(first_year, last_year)).withColumn(
@@ -69,14 +69,15 @@ def home_pairs(pairs: DataFrame, home: str, first_year: int, last_year: int) ->
 
 
 def agreement_adjust(
-    agreements: DataFrame, weights: DataFrame, home: str, cut_year: int = fixed.TARIFF_WEIGHT_CUT_YEAR
+    agreements: DataFrame, weights: DataFrame, home: str | int, cut_year: int = fixed.TARIFF_WEIGHT_CUT_YEAR
 ) -> DataFrame:
     """Agreement weight less its tariff burden, for both directions of each pair.
 
     ``agreements``: year, country, partner_country, fta_weight, tariff_pct, export_weight.
     A blank country is the home country. Missing numbers count as 0.
     """
-    filled = agreements.withColumn("country", F.coalesce(F.nullif("country", F.lit("")), F.lit(home)))
+    blank = F.coalesce(F.trim(F.col("country").cast("string")) == "", F.lit(True))
+    filled = agreements.withColumn("country", F.when(blank, F.lit(home)).otherwise(F.col("country")))
     sided = name_both_sides(
         filled, weights, "country", "tariff_weight",
         {"country": "country_weight", "partner_country": "partner_weight"},
@@ -221,7 +222,7 @@ def partner_coverage(
 
 def panel_build(
     pairs: DataFrame, trade: DataFrame, gdp: DataFrame, rates: DataFrame, agreements: DataFrame,
-    home_gdp: DataFrame, home: str, first_year: int, last_year: int,
+    home_gdp: DataFrame, home: str | int, first_year: int, last_year: int,
 ) -> DataFrame:
     """The (partner, year, product) panel with all covariates.
 
