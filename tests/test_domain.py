@@ -2,7 +2,6 @@ import math
 import statistics
 
 import pytest
-from pyspark.sql import functions as F
 
 from tradepanel.functions.fixed_values import COUNTRY_SPELLINGS, CURRENCY_OF_COUNTRY, PRODUCT_OF_CODE
 from tradepanel.plans import dashboard, domain

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradepanel.catalog.concepts import HOME, LAST_HISTORY, gdp, lines, orders, panel, table, trade, with_tables
+from tradepanel.catalog.concepts import HOME, LAST_HISTORY, lines, orders, table, trade, with_tables
 from tradepanel.catalog.registry import query
 from tradepanel.functions.fixed_values import ALL_PRODUCTS, ALL_PRODUCTS_CODE
 from tradepanel.functions.scalars import add_strict, exact_sum
 from tradepanel.operators import aggregates
 from tradepanel.operators.ordering import group_median
 from tradepanel.plans import domain
+from tradepanel.session import materialise
 
 _SUM = "CAST(sum(CAST({0} AS DECIMAL(18,4))) AS DOUBLE) AS {0}"
 
@@ -175,7 +176,7 @@ _PRODUCTS = {c: f"Section {c:02d}" for c in range(1, 26)} | {ALL_PRODUCTS_CODE:
 def union_history_forecast(spark, folder):
     """History with subtotals, then a growth forecast per partner and code joined from both flows."""
     rows = trade(spark, folder).where((F.col("year") <= LAST_HISTORY) & (F.col("partner") != HOME))
-    both = domain.with_all_products(rows)
+    both = materialise(domain.with_all_products(rows), "history")
     history = both.withColumn("trade_volume", add_strict("imports", "exports"))
     last = aggregates.group_sums(
         both.where(F.col("year") == LAST_HISTORY), ["partner", "hs_code"], ["imports", "exports"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tradepanel.catalog.concepts import LAST_HISTORY, trade, with_tables
 from tradepanel.catalog.domain import month_tables, scores
 from tradepanel.catalog.registry import query

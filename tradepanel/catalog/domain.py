@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tradepanel.catalog.concepts import (
-    FIRST_YEAR, HOME, LAST_YEAR, YEARS, adjusted, define, flows, gdp, lines, orders, pair_means, panel, table, trade,
-    with_tables, _named,
+    YEARS, adjusted, define, flows, orders, pair_means, panel, table, trade, with_tables, _named,
 )
 from tradepanel.catalog.registry import query
 from tradepanel.functions.scalars import exact_sum, log1p

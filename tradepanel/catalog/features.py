@@ -8,7 +8,7 @@ from tradepanel.catalog.concepts import brand_code, define, panel, table, with_t
 from tradepanel.catalog.registry import query
 from tradepanel.functions.scalars import code_section
 from tradepanel.operators import features
-from tradepanel.operators.windows import add_lags
+from tradepanel.plans import modelling
 from tradepanel.session import materialise
 
 _CODES = [3, 5, 7, 8, 11, 13, 17, 19, 22, 25]
@@ -71,9 +71,9 @@ def standard_scale(spark, folder):
     return scaled.select("o_orderkey", F.round("o_totalprice_scaled", 6).alias("o_totalprice_scaled"))
 
 
-FEATURES = ["year", "log_imports_lag1", "distance", "log_gdp_lag1", "log_home_gdp_lag1", "rate", "adjusted_value"]
+FEATURES = modelling.feature_columns()
 LABEL = "log_imports"
-KEY = ["year", "partner", "hs_code", "product"]
+KEY = modelling.KEY
 
 define("model_rows", ["panel"], """
     SELECT year, partner, hs_code, product, imports, distance / 1000 AS distance, rate, adjusted_value,
@@ -89,11 +89,8 @@ define("model_rows", ["panel"], """
 
 def model_rows(spark, folder):
     """The panel with lags and logs, complete rows only."""
-    lagged = add_lags(panel(spark, folder), ["partner", "hs_code", "product"], ["imports"]).dropna()
-    logged = features.log_columns(
-        lagged, ["imports", "imports_lag1", "imports_lag2", "imports_lag3", "gdp_lag1", "home_gdp_lag1"]
-    )
-    return logged.withColumn("distance", F.col("distance") / 1000).select(
+    rows = modelling.model_frame(panel(spark, folder))
+    return rows.withColumn("distance", F.col("distance") / 1000).select(
         *KEY, "imports", "distance", "rate", "adjusted_value", "log_imports", "log_imports_lag1", "log_imports_lag2",
         "log_imports_lag3", "log_gdp_lag1", "log_home_gdp_lag1",
     )
@@ -114,3 +111,34 @@ _LOGS = ["log_imports", "log_imports_lag1", "log_imports_lag2", "log_imports_lag
 )
 def model_features(spark, folder):
     return model_rows(spark, folder).withColumns({c: F.round(c, 8) for c in _LOGS})
+
+
+_FLAGS = ["02", "13", "25"]
+
+
+@query(
+    "export_features",
+    with_tables(
+        "panel", "rates",
+        changes="""
+            SELECT partner, year, rate / lag(rate) OVER (PARTITION BY partner ORDER BY year) - 1 AS rate_change
+            FROM (SELECT DISTINCT partner, year, rate FROM panel)""",
+        body="""
+            SELECT year, partner, hs_code, product, exports, exports_lag1, rate_change, gdp * adjusted_value AS gdp_x_agreement,
+                   gdp * distance AS gdp_x_distance, """ + ", ".join(
+            f"CAST(lpad(CAST(hs_code AS VARCHAR), 2, '0') = '{f}' AS INT) AS section_{f}" for f in _FLAGS) + """
+            FROM (SELECT *, lag(exports, 1) OVER w AS exports_lag1, lag(exports, 2) OVER w AS exports_lag2,
+                         lag(exports, 3) OVER w AS exports_lag3
+                  FROM panel JOIN changes USING (partner, year)
+                  WINDOW w AS (PARTITION BY partner, hs_code, product ORDER BY year))
+            WHERE exports_lag3 IS NOT NULL AND gdp_lag1 IS NOT NULL AND home_gdp_lag1 IS NOT NULL AND rate IS NOT NULL
+              AND rate_change IS NOT NULL AND adjusted_value IS NOT NULL AND exports IS NOT NULL""",
+    ),
+)
+def export_features(spark, folder):
+    """Export model inputs on the raw scale, with growth, interactions and section flags."""
+    rows = modelling.model_frame(panel(spark, folder), "exports", log=False, sections=_FLAGS)
+    return rows.select(
+        *KEY, "exports", "exports_lag1", "rate_change", "gdp_x_agreement", "gdp_x_distance",
+        *[f"section_{f}" for f in _FLAGS],
+    )

@@ -12,6 +12,7 @@ from tradepanel.functions.scalars import exact_sum, log_floor
 from tradepanel.operators import forecasting, models
 from tradepanel.operators.joins import full_outer
 from tradepanel.operators.windows import add_lags
+from tradepanel.session import materialise
 
 _SERIES = ["partner", "hs_code", "product"]
 _LAGS = ["log_imports_lag1", "log_imports_lag2", "log_imports_lag3"]
@@ -186,7 +187,7 @@ define("both_totals", ["trade"], f"""
 )
 def log_correction(spark, folder):
     """Exports of the last year stand for the prediction of its imports."""
-    rows = trade(spark, folder).where(F.col("year") == LAST_HISTORY)
+    rows = materialise(trade(spark, folder).where(F.col("year") == LAST_HISTORY), "trade")
     actual = rows.groupBy("partner").agg(exact_sum("imports").alias("actual"))
     predicted = rows.groupBy("partner").agg(exact_sum("exports").alias("predicted"))
     out = forecasting.log_correction(full_outer(actual, predicted, ["partner"]), "actual", "predicted")

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tradepanel.catalog.concepts import (
-    HOME, YEARS, adjusted, cube, flows, gdp, lines, nations, orders, pair_means, panel, rates, table, trade,
-    with_tables, _named,
+    HOME, flows, gdp, nations, orders, pair_means, panel, rates, table, trade, with_tables,
 )
 from tradepanel.catalog.registry import query
-from tradepanel.functions.scalars import clean_text, round_even
+from tradepanel.functions.scalars import clean_text, exact_sum
 from tradepanel.operators import joins
 from tradepanel.plans import domain
+from tradepanel.session import materialise
 
 
 @query(
@@ -50,17 +50,14 @@ def panel_build(spark, folder):
 )
 def full_outer_flows(spark, folder):
     """Two separately aggregated sides (low codes in, high codes out) on one key."""
-    from tradepanel.functions.scalars import exact_sum
+    wanted = F.when(F.col("flow") == "Import", F.col("hs_code") < 13).otherwise(F.col("hs_code") >= 13)
+    sums = flows(spark, folder).where(wanted).groupBy("year", "code", "flow").agg(exact_sum("value").alias("total"))
+    sums = materialise(sums, "flow-sums")
 
-    rows = flows(spark, folder)
+    def side(flow, name):
+        return sums.where(F.col("flow") == flow).select("year", "code", F.col("total").alias(name))
 
-    def side(flow, wanted, name):
-        return rows.where((F.col("flow") == flow) & wanted).groupBy("year", "code").agg(exact_sum("value").alias(name))
-
-    return joins.full_outer(
-        side("Import", F.col("hs_code") < 13, "imports"), side("Export", F.col("hs_code") >= 13, "exports"),
-        ["year", "code"],
-    )
+    return joins.full_outer(side("Import", "imports"), side("Export", "exports"), ["year", "code"])
 
 
 @query(
@@ -70,7 +67,7 @@ def full_outer_flows(spark, folder):
         FROM gdp g JOIN gdp r ON r.year = g.year AND r.partner = '{HOME}'"""),
 )
 def normalise_to_ref(spark, folder):
-    return domain.normalise_to_ref(gdp(spark, folder), "partner", HOME, "gdp")
+    return domain.normalise_to_ref(materialise(gdp(spark, folder), "gdp"), "partner", HOME, "gdp")
 
 
 _CURRENCY = {f"NATION_{i}": f"CU{i}" for i in range(20)}
@@ -84,7 +81,7 @@ _CURRENCY_SQL = f"CASE WHEN CAST(replace(r.partner, 'NATION_', '') AS INT) < 20
         FROM rates r LEFT JOIN rates h ON h.year = r.year AND h.partner = '{HOME}' WHERE r.year >= 1996"""),
 )
 def cross_rate(spark, folder):
-    local = rates(spark, folder).withColumnRenamed("partner", "country")
+    local = materialise(rates(spark, folder).withColumnRenamed("partner", "country"), "rates")
     return domain.cross_rate(local, HOME, _CURRENCY, 1996)
 
 
@@ -156,7 +153,7 @@ def forecast_combine(spark, folder):
     """Two forecasts made separately, joined on partner and code."""
     from tradepanel.operators.aggregates import group_sums
 
-    rows = trade(spark, folder).where(F.col("year") == 2000)
+    rows = materialise(trade(spark, folder).where(F.col("year") == 2000), "trade")
     imports = group_sums(rows.where(F.col("imports").isNotNull()), ["partner", "hs_code"], ["imports"])
     exports = group_sums(rows.where(F.col("exports").isNotNull()), ["partner", "hs_code"], ["exports"])
     return domain.combine_forecasts(imports, exports, ["partner", "hs_code"])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from tradepanel.catalog.concepts import HOME, define, orders, table, with_tables
@@ -13,6 +11,7 @@ from tradepanel.catalog.registry import query
 from tradepanel.functions import fixed_values as fixed
 from tradepanel.functions.scalars import log_floor
 from tradepanel.operators import joins, models, validation
+from tradepanel.plans import modelling
 from tradepanel.session import fresh_path, materialise
 from tradepanel.sources.stores import load_model, save_model
 
@@ -343,18 +342,11 @@ def grid_search(spark, folder):
 @query("model_compare")
 def model_compare(spark, folder):
     """Mean fold metrics per kind of model, and the best one by R2."""
-    folded = _panel_folds(spark, folder)
     kinds = {
         "ols": ("ols", {}), "ridge": ("ridge", {"alpha": 1.0}), "lasso": ("lasso", {"alpha": 0.1}),
         "forest": ("forest", {"trees": 5, "depth": 5}), "boost": ("boost", {"trees": 3, "depth": 3}),
     }
-    parts = []
-    for name, (kind, params) in kinds.items():
-        scored, _ = validation.fold_predictions(folded, FEATURES, LABEL, kind, range(1, 6), **params)
-        parts.append(scored.select(F.lit(name).alias("model"), "fold", LABEL, models.PREDICTION))
-    scored = reduce(lambda a, b: a.unionByName(b), parts)
-    per_fold = validation.fold_metrics(scored, LABEL, models.PREDICTION, len(FEATURES) + 1, ["model", "fold"])
-    means = materialise(validation.average_metrics(per_fold, ["model"]), "means")
+    means = materialise(modelling.compare_models(_panel_folds(spark, folder), FEATURES, LABEL, kinds), "means")
     return means.withColumn("best", F.col("model") == validation.best_model(means))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradepanel.catalog.concepts import HOME, YEARS, gdp, pair_means, table, with_tables
+from tradepanel.catalog.concepts import HOME, YEARS, gdp, pair_means, with_tables
 from tradepanel.catalog.registry import query
 from tradepanel.catalog.scans import _ports
 from tradepanel.functions.pairs import pair_text, parse_pair

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradepanel.catalog.concepts import HOME, cube, gdp, nations, rates, table, trade, with_tables
+from tradepanel.catalog.concepts import HOME, gdp, nations, rates, table, trade, with_tables
 from tradepanel.catalog.joins import _CURRENCY
 from tradepanel.catalog.registry import query
 from tradepanel.functions import scalars
 from tradepanel.operators.features import log_columns
 from tradepanel.operators.joins import spine
 from tradepanel.plans import dashboard, domain
+from tradepanel.session import materialise
 
 
 @query(
@@ -109,8 +110,9 @@ _GRID = "(SELECT n_name AS country, CAST(y AS INT) AS year FROM nation CROSS JOI
 def value_text(spark, folder):
     """Rate and output sentences for every country and asked-for year."""
     grid = spine(nations(spark, folder).select(F.col("name").alias("country")), list(range(1994, 2003)))
-    crossed = domain.cross_rate(rates(spark, folder).withColumnRenamed("partner", "country"), HOME, _CURRENCY, 1990)
-    outputs = gdp(spark, folder).withColumnRenamed("partner", "country")
+    local = materialise(rates(spark, folder).withColumnRenamed("partner", "country"), "rates")
+    crossed = domain.cross_rate(local, HOME, _CURRENCY, 1990)
+    outputs = materialise(gdp(spark, folder).withColumnRenamed("partner", "country"), "gdp")
     return dashboard.rate_sentences(grid, crossed, "CU0").join(
         dashboard.output_sentences(grid, outputs, HOME), ["country", "year"]
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradepanel.catalog.concepts import HOME, PANEL_KEY, YEARS, gdp, orders, table, trade, with_tables
+from tradepanel.catalog.concepts import YEARS, gdp, orders, table, trade, with_tables
 from tradepanel.catalog.registry import query
 from tradepanel.operators.filters import numeric_key_rows
 from tradepanel.operators.ordering import drop_leading_rows

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradepanel.catalog.concepts import HOME, gdp, home_gdp, panel, rates, table, trade, with_tables
+from tradepanel.catalog.concepts import gdp, home_gdp, rates, table, trade, with_tables
 from tradepanel.catalog.registry import query
 from tradepanel.operators import windows
 from tradepanel.operators.ordering import INDEX, shift_rows, with_row_index

@@ -16,6 +16,7 @@ from tradepanel.functions import fixed_values as fixed
 from tradepanel.functions.scalars import clip, log_floor, percent_change
 from tradepanel.operators import models
 from tradepanel.operators.aggregates import first_by_key, latest_slice, with_subtotals
+from tradepanel.session import materialise
 
 TARGET_YEAR = "target_year"
 
@@ -112,7 +113,8 @@ def log_correction(totals: DataFrame, actual: str, predicted: str) -> DataFrame:
     residual = ln(actual) - ln(predicted) is regressed on ln(predicted); the fitted
     residual is added back in log space. Both percentage changes are against ``actual``.
     """
-    logs = totals.withColumns({"_log_a": log_floor(actual), "_log_p": log_floor(predicted)}).withColumn(
+    # one row per key, read for the fit and again for its use
+    logs = materialise(totals, "totals").withColumns({"_log_a": log_floor(actual), "_log_p": log_floor(predicted)}).withColumn(
         "_gap", F.col("_log_a") - F.col("_log_p")
     )
     line = logs.agg(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from itertools import product
 
 import numpy as np
@@ -14,6 +16,13 @@ from tradepanel.operators.features import moments
 from tradepanel.operators.ordering import INDEX, with_row_index
 
 FOLD = "fold"
+PARALLEL_FITS = 4
+
+
+def _side_by_side(work: Callable, items: Iterable) -> list:
+    """Results of independent Spark jobs started from a few threads, in order."""
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        return list(pool.map(work, items))
 
 
 def expanding_folds(df: DataFrame, order: Sequence[str], splits: int = 5) -> DataFrame:
@@ -106,13 +115,12 @@ def fold_predictions(
     folded: DataFrame, features: Sequence[str], label: str, kind: str, folds: Iterable[int], **params
 ) -> tuple[DataFrame, list]:
     """Fit on every fold before k and predict fold k, for each k."""
-    scored, fitted = None, []
-    for k in folds:
-        model = models.fit(folded.where(F.col(FOLD) < k), features, label, kind, **params)
-        fitted.append(model)
-        part = models.predict(model, folded.where(F.col(FOLD) == k))
-        scored = part if scored is None else scored.unionByName(part)
-    return scored, fitted
+    folds = list(folds)
+    fitted = _side_by_side(
+        lambda k: models.fit(folded.where(F.col(FOLD) < k), features, label, kind, **params), folds
+    )
+    parts = [models.predict(m, folded.where(F.col(FOLD) == k)) for k, m in zip(folds, fitted)]
+    return reduce(DataFrame.unionByName, parts), fitted
 
 
 def year_forward(
@@ -120,11 +128,11 @@ def year_forward(
 ) -> DataFrame:
     """R2 of each of the last years, with the model fitted on all years before it."""
     years = [r[year] for r in year_splits(df, last, year).select(year).orderBy(year).collect()]
-    scored = None
-    for y in years:
-        model = models.fit(df.where(F.col(year) < y), features, label, kind, **params)
-        part = models.predict(model, df.where(F.col(year) == y))
-        scored = part if scored is None else scored.unionByName(part)
+    fitted = _side_by_side(
+        lambda y: models.fit(df.where(F.col(year) < y), features, label, kind, **params), years
+    )
+    parts = [models.predict(m, df.where(F.col(year) == y)) for y, m in zip(years, fitted)]
+    scored = reduce(DataFrame.unionByName, parts)
     return fold_metrics(scored, label, models.PREDICTION, len(features) + 1, [year])
 
 
@@ -147,16 +155,18 @@ def search(
     ``forward`` trains on earlier folds only; otherwise on all other folds. Each fit is
     a Spark job over the whole training part; all scores are taken in one aggregation.
     """
-    scored = None
-    for i, params in enumerate(candidates):
-        for k in folds:
-            train = F.col(FOLD) < k if forward else F.col(FOLD) != k
-            model = models.fit(folded.where(train), features, label, kind, **params)
-            part = models.predict(model, folded.where(F.col(FOLD) == k).select(FOLD, label, *features))
-            part = part.select(
-                F.lit(i).alias("candidate"), F.lit(_label_of(params)).alias("params"), FOLD, label, models.PREDICTION
-            )
-            scored = part if scored is None else scored.unionByName(part)
+    tries = [(i, params, k) for i, params in enumerate(candidates) for k in folds]
+
+    def score(one: tuple) -> DataFrame:
+        i, params, k = one
+        train = F.col(FOLD) < k if forward else F.col(FOLD) != k
+        model = models.fit(folded.where(train), features, label, kind, **params)
+        part = models.predict(model, folded.where(F.col(FOLD) == k).select(FOLD, label, *features))
+        return part.select(
+            F.lit(i).alias("candidate"), F.lit(_label_of(params)).alias("params"), FOLD, label, models.PREDICTION
+        )
+
+    scored = reduce(DataFrame.unionByName, _side_by_side(score, tries))
     per_fold = fold_metrics(scored, label, models.PREDICTION, len(features) + 1, ["candidate", "params", FOLD])
     return per_fold.groupBy("candidate", "params").agg(F.avg("r2").alias("r2")).orderBy(
         F.col("r2").desc(), "candidate"
