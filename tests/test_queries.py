@@ -1,10 +1,14 @@
 """Every registered query against its SQL counterpart, and row checks for the others."""
 
+import functools
+
 import duckdb
 import pytest
 
 import __spark_entry__
 from check_queries import TABLES, compare, plain
+from tradepanel.catalog import concepts
+from tradepanel.operators import skew
 
 RUNNERS = __spark_entry__.queries()
 ORACLES = __spark_entry__.oracle_sql()
@@ -39,6 +43,23 @@ def test_same_as_sql(spark, folder, db, name):
     left = [tuple(plain(r[c]) for c in order) for r in df.collect()]
     right = [tuple(plain(r[result.columns.index(c)]) for c in order) for r in result.fetchall()]
     assert compare(order, left, right) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
+        assert unwanted not in plan
+
+
+@pytest.mark.parametrize("name", ["trade_balance", "pair_distance", "agreement_adjust"])
+def test_salted_joins_give_the_same_result(spark, folder, db, name, monkeypatch):
+    """Every dimension taken as large, so that all frequent keys are salted."""
+    salted = functools.partial(skew.join_dimension, large=0, salts=4)
+    monkeypatch.setattr(concepts, "join_dimension", salted)
+    df = RUNNERS[name](spark, folder)
+    assert "_salt" in df._jdf.queryExecution().optimizedPlan().toString()
+    result = db.sql(ORACLES[name])
+    order = sorted(result.columns)
+    left = [tuple(plain(r[c]) for c in order) for r in df.collect()]
+    right = [tuple(plain(r[result.columns.index(c)]) for c in order) for r in result.fetchall()]
+    assert compare(order, left, right) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(RUNNERS) - set(ORACLES)))
