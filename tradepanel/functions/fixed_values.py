@@ -109,3 +109,34 @@ BOOST_GRID = {
     "subsample": [0.8, 1.0],
 }
 BOOST_DEFAULT = {"trees": 200, "depth": 5, "rate": 0.05, "subsample": 0.8}
+
+# Product descriptions of the source files to the short names used in results.
+PRODUCT_SHORT_NAMES = {
+    "Chemical products n.e.c.": "Other Chemicals",
+    "Electrical machinery and equipment and parts thereof; sound recorders and reproducers; television image and sound recorders and reproducers, parts and accessories of such articles": "Electrical Equipment & AV Gear",
+    "Essential oils and resinoids; perfumery, cosmetic or toilet preparations": "Cosmetics & Fragrances",
+    "Metal; miscellaneous products of base metal": "Base Metal Products",
+    "Mineral fuels, mineral oils and products of their distillation; bituminous substances; mineral waxes": "Mineral Fuels & Oils",
+    "Natural, cultured pearls; precious, semi-precious stones; precious metals, metals clad with precious metal, and articles thereof; imitation jewellery; coin": "Jewellery & Precious Metals",
+    "Nuclear reactors, boilers, machinery and mechanical appliances; parts thereof": "Machinery & Boilers",
+    "Optical, photographic, cinematographic, measuring, checking, medical or surgical instruments and apparatus; parts and accessories": "Optical & Medical Instruments",
+    "Organic chemicals": "Organic Chemicals",
+    "Plastics and articles thereof": "Plastics",
+    "Machinery and mechanical appliances, boilers, nuclear reactors; parts thereof": "Machinery & Boilers",
+}
+
+# Countries whose votes are compared.
+VOTING_COUNTRIES = [
+    "China", "Japan", "South Korea", "Malaysia", "Saudi Arabia", "Thailand", "United States of America",
+    "Singapore", "Indonesia", "Taiwan", "India", "Australia", "United Arab Emirates", "Vietnam", "Germany",
+    "Philippines",
+]
+
+# Reporters of the tariff profile.
+TARIFF_REPORTERS = ["HKG", "MYS", "SAU", "JPN", "CHN", "USA", "THA", "KOR"]
+
+# Partners whose share of all trade is reported.
+COVERAGE_PARTNERS = [
+    "Thailand", "Malaysia", "United States", "China", "Hong Kong", "Japan", "South Korea", "Indonesia",
+    "Taiwan", "India", "Saudi Arabia",
+]
