@@ -7,11 +7,11 @@ import pytest
 
 import __spark_entry__
 from check_queries import TABLES, compare, plain
-from tradepanel.catalog import concepts
+from tradepanel.catalog import concepts, oracles, runners
 from tradepanel.operators import skew
 
-RUNNERS = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+RUNNERS = runners()
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")
