@@ -39,7 +39,7 @@ FREQUENT = 1 << 16  # shingles that are ordered last, at most
 LOCAL = 8  # sets of one batch that a shingle must be in to be considered for that
 LIST_BLOCK = 2048  # members of a list, or
 SHINGLE_BLOCK = 1 << 20  # shingles of a cluster, that are paired with another such block at a time
-TIED = 0.2  # share of a set's prefix lists led by one leader, from which on it is tied to it
+TIED = 0.05  # share of a set's prefix that, in lists led by one leader and at least two of them, ties it to that
 
 
 def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[bytes]]]:
@@ -148,11 +148,12 @@ def shared_lists(entries: DataFrame) -> DataFrame:
 
 def cross_pairs(lists: DataFrame, clusters: DataFrame, p: int, q: int) -> DataFrame:
     """Pairs of sets in different clusters whose count over all lists can still reach T: ``a``, ``b``."""
-    own = lists.join(clusters, "set_id", "left").withColumn("cluster", F.coalesce("cluster", "set_id"))
-    mixed = own.groupBy("h").agg(F.count(F.lit(1)).alias("members"), F.min("cluster").alias("lo"), F.max("cluster").alias("hi"))
-    blocks = F.expr(f"cast((members + {LIST_BLOCK - 1}) div {LIST_BLOCK} as int)")
-    mixed = mixed.where("lo <> hi").select("h", blocks.alias("blocks"))
-    own = own.join(mixed, "h").withColumn("side", F.expr("cast(pmod(set_id, blocks) as int)"))
+    own = lists.select("h", "set_id", "n", "pos").join(clusters, "set_id", "left").withColumn("cluster", F.coalesce("cluster", "set_id"))
+    # Only long lists need blocks; they are few, so that the other lists are shuffled once, to their pairs.
+    long = lists.groupBy("h").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > LIST_BLOCK)
+    long = long.select("h", F.expr(f"cast((members + {LIST_BLOCK - 1}) div {LIST_BLOCK} as int)").alias("blocks"))
+    own = own.join(long, "h", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = own.withColumn("side", F.expr("cast(pmod(set_id, blocks) as int)"))
     spread = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = spread.select(
         "h", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "set_id", "n", "pos", "cluster"
@@ -163,7 +164,13 @@ def cross_pairs(lists: DataFrame, clusters: DataFrame, p: int, q: int) -> DataFr
 
     def pairs(x: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
         """Pairs of rows of the same list and block pair, one distance between rows at a time."""
-        h, i, j, side, s, n, pos, cluster = (x[c] for c in names)
+        h, i, j = (x[c] for c in names[:3])
+        if not len(h):
+            return
+        first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+        mixed = np.minimum.reduceat(x["cluster"], first) != np.maximum.reduceat(x["cluster"], first)
+        mixed = np.repeat(mixed, np.diff(np.concatenate([first, [len(h)]])))
+        h, i, j, side, s, n, pos, cluster = (x[c][mixed] for c in names)
         at = np.arange(len(h))
         for d in range(1, len(h)):
             at = at[at + d < len(h)]
@@ -352,7 +359,7 @@ def similarity_classes(docs: DataFrame, p: int = 3, q: int = 4, size: int = 5, k
     lists = materialise(shared_lists(prefixes(rows, size, p, q, frequent)), "lists")
     ties = lists.where("set_id <> leader").groupBy("set_id", "leader").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"))
     prefix = F.col("n") - F.expr(f"({p} * n + {q - 1}) div {q}") + 1
-    ties = ties.where(F.col("c") >= F.lit(TIED) * prefix).select(F.col("set_id").alias("a"), F.col("leader").alias("b"))
+    ties = ties.where((F.col("c") >= 2) & (F.col("c") >= F.lit(TIED) * prefix)).select(F.col("set_id").alias("a"), F.col("leader").alias("b"))
     clusters = materialise(components(ties).withColumnsRenamed({"id": "set_id", "component": "cluster"}), "clusters")
     pairs = materialise(cross_pairs(lists, clusters, p, q), "pairs")
 
