@@ -6,10 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradepanel.llm import best_fit, byte_bpe, chat_template, hilbert_shards, html_density, jaccard_join, token_transducer
+from tradepanel.llm import (
+    best_fit, byte_bpe, chat_template, cross_polytope, hilbert_shards, html_density, jaccard_join, line_crf, quality_rules, token_transducer,
+)
 from tradepanel.llm.common import read_file, read_table
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.quality_rules(read_table(spark, folder, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op2_byte_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     ranks = read_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -48,7 +55,22 @@ def op8_html_density(spark: SparkSession, folder: str) -> DataFrame:
     return html_density.extract(read_table(spark, folder, "pages"))
 
 
+def op9_line_crf(spark: SparkSession, folder: str) -> DataFrame:
+    return line_crf.classify(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+def op10_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
+    return cross_polytope.near_duplicates(read_table(spark, folder, "embeddings"))
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 RUNNERS = {f.__name__: f for f in (
-    op2_byte_bpe_tree, op3_chat_template, op4_hilbert_shards, op5_best_fit, op6_token_transducer, op7_jaccard_join, op8_html_density,
+    op1_quality_rules, op2_byte_bpe_tree, op3_chat_template, op4_hilbert_shards, op5_best_fit, op6_token_transducer, op7_jaccard_join,
+    op8_html_density, op9_line_crf, op10_cross_polytope, pipeline,
 )}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_quality_rules": quality_rules.SQL}
