@@ -191,6 +191,8 @@ def parse(source: str) -> Node:
             kind, value = words[place]
             place += 1
             if kind == "text":
+                if "{{" in value or "{%" in value:
+                    raise TemplateError("a tag is not closed")
                 if value:
                     body.append(("const", value))
                 continue

@@ -75,12 +75,11 @@ def references(docs: DataFrame, common: Mapping[str, Sequence[str]] = COMMON_WOR
 
 def distance(a: str, b: str) -> Column:
     """Jensen-Shannon distance, in [0, 1], of two array columns of counts; null if one has no counts."""
-    total = "nullif(aggregate({0}, 0L, (s, x) -> s + x), 0)"
+    total = "aggregate({0}, 0L, (s, x) -> s + x)"
     share = f"zip_with({a}, {b}, (x, y) -> struct(x / {total.format(a)} as p, y / {total.format(b)} as q))"
     one = "case when {0} > 0 then {0} * ln(2 * {0} / (z.p + z.q)) else 0D end"
-    return F.expr(
-        f"sqrt(greatest(0D, aggregate(transform({share}, z -> {one.format('z.p')} + {one.format('z.q')}), 0D, (s, x) -> s + x) / (2 * ln(2D))))"
-    )
+    divergence = f"aggregate(transform({share}, z -> {one.format('z.p')} + {one.format('z.q')}), 0D, (s, x) -> s + x) / (2 * ln(2D))"
+    return F.expr(f"case when {total.format(a)} > 0 and {total.format(b)} > 0 then sqrt(greatest(0D, {divergence})) end")
 
 
 def quality_rules(
@@ -141,7 +140,10 @@ def quality_rules(
     }
     taken = {n.lower() for n in new}
     old = [F.col(name)[c].alias(c) for c in docs.columns if c.lower() not in taken]
-    return out.select(*old, *[c.alias(n) for n, c in new.items()])
+    # One row made of one row: a caller's filter on a result must not be pushed down into the steps above, where
+    # every element of an array would then compute the whole array again.
+    out = out.select(name, F.explode(F.array(F.struct(*[c.alias(n) for n, c in new.items()]))).alias("_new"))
+    return out.select(*old, *[F.col("_new")[n].alias(n) for n in new])
 
 
 def _sql() -> str:
