@@ -61,6 +61,7 @@ CURRENCY_OF_COUNTRY = {
     "Singapore": "SGD",
     "Thailand": "THB",
     "United States": "USD",
+    "United States of America": "USD",
 }
 
 # Two-digit commodity code to short product name.

@@ -15,15 +15,19 @@ _LOW = 1048576.0  # 2 ** 20
 def exact_sum(c: Column | str, digits: int = 4) -> Column:
     """Sum that does not depend on the order of its terms, as a double.
 
-    Each term is taken as a whole number of 10**-digits units and split at 2**20 into
-    two longs. Long sums are exact and stay in generated code, which makes this several
-    times cheaper than a decimal sum; the split keeps totals far beyond one long safe.
+    Each term is rounded to ``digits`` decimals, taken as a whole number of such units and split
+    at 2**20 into two longs. Long sums are exact and stay in generated code, which makes this several
+    times cheaper than a decimal sum; the split keeps totals far beyond one long safe. NaN,
+    infinities and terms beyond 2**60 units are added as plain doubles.
     """
-    units = F.rint(col(c).cast("double") * F.lit(10.0**digits))
+    value = col(c).cast("double")
+    scaled = value * F.lit(10.0**digits)
+    plain = F.isnan(value) | (F.abs(scaled) > F.lit(2.0**60))
+    units = F.when(plain, F.lit(0.0)).otherwise(F.rint(scaled))
     high = F.floor(units / F.lit(_LOW))
     low = (units - high * F.lit(_LOW)).cast("bigint")
     total = F.sum(high).cast("double") * F.lit(_LOW) + F.sum(low).cast("double")
-    return total / F.lit(10.0**digits)
+    return total / F.lit(10.0**digits) + F.coalesce(F.sum(F.when(plain, value)), F.lit(0.0))
 
 
 def mean_of(c: Column | str, digits: int = 9) -> Column:

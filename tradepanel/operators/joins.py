@@ -63,8 +63,8 @@ def against_reference(
 
 
 def by_year(df: DataFrame, yearly: DataFrame, year: str = "year") -> DataFrame:
-    """Left-join a table that holds one row per calendar year."""
-    return df.join(F.broadcast(yearly), year, "left")
+    """Left-join a table that holds one row per calendar year; whether to broadcast it is left to Spark."""
+    return df.join(yearly, year, "left")
 
 
 def spine(entities: DataFrame, years: Sequence[int], year: str = "year") -> DataFrame:

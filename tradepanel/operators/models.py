@@ -54,13 +54,13 @@ def estimator(kind: str, df: DataFrame, label: str, **params):
         return RandomForestRegressor(
             numTrees=params.get("trees", 100), maxDepth=params.get("depth", 5),
             minInstancesPerNode=max(1, params.get("min_rows", 2) // 2),
-            featureSubsetStrategy="all", seed=42, **common
+            maxBins=params.get("bins", 32), featureSubsetStrategy="all", seed=42, **common
         )
     if kind == "boost":
         return GBTRegressor(
             maxIter=params.get("trees", 100), maxDepth=params.get("depth", 3),
             stepSize=params.get("rate", 0.1), subsamplingRate=params.get("subsample", 1.0),
-            featureSubsetStrategy=str(params.get("columns", "all")), seed=42, **common
+            featureSubsetStrategy=str(params.get("columns", "all")), maxBins=params.get("bins", 32), seed=42, **common
         )
     raise ValueError(f"unknown model kind {kind!r}")
 
@@ -82,19 +82,26 @@ def fit(
         ).fit(df)
         stages.append(indexer)
         inputs.append(f"{c}_i")
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=_FEATURES, handleInvalid="skip"))
+        # A tree needs a bin for each level, the one for unknown levels included.
+        params["bins"] = max(params.get("bins", 32), len(indexer.labels) + 1)
+    stages.append(VectorAssembler(inputCols=inputs, outputCol=_FEATURES, handleInvalid="keep"))
     prepared = df
-    for stage in stages:
+    for stage in stages[:-1]:
         prepared = stage.transform(prepared)
+    # Only complete rows train; prediction keeps the others, without a value.
+    prepared = stages[-1].transform(prepared.dropna(subset=inputs))
     prepared = prepared.select(_FEATURES, F.col(label).cast("double").alias(label))
     stages.append(estimator(kind, prepared, label, **params).fit(prepared))
     return PipelineModel(stages=stages)
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str = PREDICTION) -> DataFrame:
-    """Add the prediction and nothing else."""
+    """Add the prediction and nothing else; a row with a missing feature stays, with a null prediction."""
     scored = model.transform(df)
-    return scored.select(*df.columns, F.col(PREDICTION).alias(out))
+    complete = F.lit(True)
+    for c in [c for s in getattr(model, "stages", []) if isinstance(s, VectorAssembler) for c in s.getInputCols()]:
+        complete = complete & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return scored.select(*df.columns, F.when(complete, F.col(PREDICTION)).alias(out))
 
 
 def feature_names(model: PipelineModel) -> list[str]:

@@ -119,7 +119,7 @@ def fold_predictions(
     fitted = _side_by_side(
         lambda k: models.fit(folded.where(F.col(FOLD) < k), features, label, kind, **params), folds
     )
-    parts = [models.predict(m, folded.where(F.col(FOLD) == k)) for k, m in zip(folds, fitted)]
+    parts = [models.predict(m, folded.where(F.col(FOLD) == k)).dropna(subset=[models.PREDICTION]) for k, m in zip(folds, fitted)]
     return reduce(DataFrame.unionByName, parts), fitted
 
 
@@ -131,7 +131,7 @@ def year_forward(
     fitted = _side_by_side(
         lambda y: models.fit(df.where(F.col(year) < y), features, label, kind, **params), years
     )
-    parts = [models.predict(m, df.where(F.col(year) == y)) for y, m in zip(years, fitted)]
+    parts = [models.predict(m, df.where(F.col(year) == y)).dropna(subset=[models.PREDICTION]) for y, m in zip(years, fitted)]
     scored = reduce(DataFrame.unionByName, parts)
     return fold_metrics(scored, label, models.PREDICTION, len(features) + 1, [year])
 
@@ -162,6 +162,7 @@ def search(
         train = F.col(FOLD) < k if forward else F.col(FOLD) != k
         model = models.fit(folded.where(train), features, label, kind, **params)
         part = models.predict(model, folded.where(F.col(FOLD) == k).select(FOLD, label, *features))
+        part = part.dropna(subset=[models.PREDICTION])
         return part.select(
             F.lit(i).alias("candidate"), F.lit(_label_of(params)).alias("params"), FOLD, label, models.PREDICTION
         )
@@ -243,6 +244,8 @@ def _solve(gram: np.ndarray, alpha: float, penalty: str) -> np.ndarray:
                 beta[j] = np.sign(rest) * max(abs(rest) - alpha, 0.0) / xx[j, j]
             if np.max(np.abs(beta - last)) < 1e-12:
                 break
+        else:
+            raise ArithmeticError(f"lasso with alpha {alpha} did not settle in 1000 sweeps")
     beta = beta / dev
     return np.concatenate([[mean[-1] - mean[:-1] @ beta], beta])
 
