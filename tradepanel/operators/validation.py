@@ -188,6 +188,7 @@ def linear_search(
     folds, so no fit or score reads the rows again. Only one row per fold, with
     (features + 2)^2 / 2 numbers, reaches the driver.
     """
+    folded = folded.dropna(subset=[*features, label])  # complete rows only, as in a fit
     scale = moments(folded, [*features, label])
     # centring and scaling by the overall moments only keeps the sums well conditioned
     scaled = folded.select(
