@@ -232,7 +232,7 @@ def test_classes_as_brute_force(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "LIST_BLOCK", 4)
     monkeypatch.setattr(jaccard_join, "LOCAL", 3)
     texts = _variants(1, 6, 14, 60) + ["one two", "One  two", "one", "", None, " \n"] + ["same text in six words twice"] * 3
-    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (3, texts[3])]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (3, texts[3]), (3, texts[9]), (None, texts[5] + " more")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n long").repartition(4)
     got = jaccard_join.similarity_classes(df).collect()
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == _classes(rows)

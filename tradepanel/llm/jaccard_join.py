@@ -61,21 +61,23 @@ LONG, BIN = T.LongType(), T.BinaryType()
 
 
 def members(docs: DataFrame, size: int) -> DataFrame:
-    """One row per document (``doc_id``, ``n``, ``set_id``), and rows of locally frequent shingles (``shingle``, ``count``)."""
+    """One row per document (``doc_id``, ``key``, ``n``, ``set_id``), and rows of locally frequent shingles (``shingle``, ``count``)."""
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         seen: dict[bytes, np.ndarray] = {}
         for rows, sets, digests in _sets(batch, size):
             none = pa.nulls(len(sets), pa.int64())
-            yield {"doc_id": rows["doc_id"], "n": [len(s) for s in sets], "set_id": _ids(digests), "shingle": none, "count": none}
+            yield {
+                "doc_id": rows["doc_id"], "key": rows["key"], "n": [len(s) for s in sets], "set_id": _ids(digests), "shingle": none, "count": none
+            }
             seen.update(zip(digests, sets))
         if seen:
             found, count = np.unique(np.concatenate(list(seen.values())), return_counts=True)
             found, count = found[count >= LOCAL], count[count >= LOCAL]
             none = pa.nulls(len(found), pa.int64())
-            yield {"doc_id": none, "n": none, "set_id": none, "shingle": found.view(np.int64), "count": count}
+            yield {"doc_id": none, "key": none, "n": none, "set_id": none, "shingle": found.view(np.int64), "count": count}
 
-    return map_batches(docs, run, _struct(doc_id=LONG, n=LONG, set_id=LONG, shingle=LONG, count=LONG))
+    return map_batches(docs, run, _struct(doc_id=LONG, key=LONG, n=LONG, set_id=LONG, shingle=LONG, count=LONG))
 
 
 def prefixes(docs: DataFrame, size: int, p: int, q: int, frequent: np.ndarray) -> DataFrame:
@@ -282,12 +284,41 @@ def search(queries: list[tuple[int, np.ndarray]], index: list[tuple[int, np.ndar
     return links
 
 
-def cluster_links(sets: DataFrame, clusters: DataFrame, p: int, q: int) -> DataFrame:
-    """Links inside clusters; a cluster with many shingles is searched block by block."""
-    own = sets.join(clusters, "set_id")
-    sizes = clusters.join(sets.select("set_id", "n"), "set_id").groupBy("cluster").agg(F.sum("n").alias("shingles"))
+def chosen(own: DataFrame, clusters: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One document of each set that is in a cluster or in a pair: ``key``, ``set_id``, ``n``, ``cluster``, ``blocks``, ``copies``.
+
+    ``blocks`` says into how many parts the set's cluster is cut, ``copies`` how many rows have the document's
+    key and set. Everything here is numbers; copies are counted before sets meet their clusters.
+    """
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("set_id"), F.lit(None).cast("long").alias("cluster"))
+    needed = clusters.select("set_id", "cluster").union(paired).groupBy("set_id").agg(F.max("cluster").alias("cluster"))
+    found = own.where("n > 0").groupBy("set_id", "n", "key").agg(F.count(F.lit(1)).alias("copies"))
+    found = found.groupBy("set_id", "n").agg(F.min(F.struct("key", "copies")).alias("x")).join(needed, "set_id")
+    found = found.select("x.key", "set_id", "n", "cluster", "x.copies")
+    sizes = found.where("cluster is not null").groupBy("cluster").agg(F.sum("n").alias("shingles"))
     sizes = sizes.select("cluster", F.expr(f"cast((shingles + {SHINGLE_BLOCK - 1}) div {SHINGLE_BLOCK} as int)").alias("blocks"))
-    own = own.join(sizes, "cluster").withColumn("side", F.expr("cast(pmod(set_id, blocks) as int)"))
+    return found.join(sizes, "cluster", "left").select("key", "set_id", "n", "cluster", "blocks", "copies")
+
+
+def full_sets(rows: DataFrame, one: DataFrame, size: int) -> DataFrame:
+    """``one`` with the shingles of each of its sets. Texts are read again; Spark broadcasts ``one`` if it is small."""
+    names = ["set_id", "n", "cluster", "blocks", "copies"]
+
+    def run(batch: pa.RecordBatch) -> Iterator[dict]:
+        for part, sets, digests in _sets(batch, size):
+            right = np.flatnonzero(_ids(digests) == np.asarray(part["set_id"]))  # a repeated id can have other sets too
+            if len(right):
+                yield {c: part[c].take(pa.array(right)) for c in names} | {"shingles": [sets[k].tobytes() for k in right]}
+
+    schema = _struct(set_id=LONG, n=LONG, cluster=LONG, blocks=T.IntegerType(), copies=LONG, shingles=BIN)
+    found = materialise(map_batches(rows.join(one, "key").select(*names, "text"), run, schema), "sets")
+    # Only rows that are repeated under one key come more than once.
+    return found.where("copies = 1").union(found.where("copies > 1").dropDuplicates(["set_id"]))
+
+
+def cluster_links(sets: DataFrame, p: int, q: int) -> DataFrame:
+    """Links inside clusters; a cluster with many shingles is searched block by block."""
+    own = sets.where("cluster is not null").withColumn("side", F.expr("cast(pmod(set_id, blocks) as int)"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     own = own.select("cluster", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "set_id", "shingles")
     schema = _struct(a=LONG, b=LONG)
@@ -350,8 +381,9 @@ def similarity_classes(docs: DataFrame, p: int = 3, q: int = 4, size: int = 5, k
     """
     spark = docs.sparkSession
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
+    rows = rows.withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))  # rows without id are found again too
     first = materialise(members(rows, size), "members")
-    own = first.where("set_id is not null").select("doc_id", "n", "set_id")
+    own = first.where("set_id is not null").select("doc_id", "key", "n", "set_id")
     hottest = first.where("shingle is not null").groupBy("shingle").agg(F.sum("count").alias("c"))
     hottest = hottest.orderBy(F.desc("c"), "shingle").limit(FREQUENT).collect()  # a bounded list of numbers
     frequent = np.sort(np.array([r["shingle"] for r in hottest], np.int64).view(np.uint64))
@@ -363,20 +395,11 @@ def similarity_classes(docs: DataFrame, p: int = 3, q: int = 4, size: int = 5, k
     clusters = materialise(components(ties).withColumnsRenamed({"id": "set_id", "component": "cluster"}), "clusters")
     pairs = materialise(cross_pairs(lists, clusters, p, q), "pairs")
 
-    needed = clusters.select("set_id").union(pairs.select(F.col("a").alias("set_id"))).union(pairs.select(F.col("b").alias("set_id"))).distinct()
     # One document of each needed set; its text is read once more for the full set.
-    one = own.join(needed, "set_id", "left_semi").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    chosen = rows.join(one, "doc_id").select("doc_id", "text")
-    schema = _struct(set_id=LONG, n=LONG, shingles=BIN)
-
-    def full(batch: pa.RecordBatch) -> Iterator[dict]:
-        for _, sets, digests in _sets(batch, size):
-            yield {"set_id": _ids(digests), "n": [len(s) for s in sets], "shingles": [s.tobytes() for s in sets]}
-
-    sets = materialise(map_batches(chosen, full, schema).dropDuplicates(["set_id"]), "sets")
-    links = cluster_links(sets, clusters, p, q).union(verified(pairs, sets, p, q))
+    sets = full_sets(rows, materialise(chosen(own, clusters, pairs), "chosen"), size)
+    links = cluster_links(sets, p, q).union(verified(pairs, sets, p, q))
     joined = components(links).withColumnsRenamed({"id": "set_id", "component": "class"})
-    marked = own.join(joined, "set_id", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("class", "set_id")))
+    marked = own.drop("key").join(joined, "set_id", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("class", "set_id")))
     marked = materialise(marked, "classes")
     smallest = marked.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
     return marked.join(smallest, "class", "left").select(
