@@ -163,11 +163,13 @@ def test_symmetrise_twice_gives_the_same_set(spark):
     assert rows(reshape.symmetrise(once, "x", "y").distinct()) == rows(once)
 
 
-def test_nested_lookup_splits_large_keys_and_loses_nothing(spark):
+@pytest.mark.parametrize("parts", [1, 7])
+def test_nested_lookup_splits_all_keys_alike_and_loses_nothing(spark, parts):
     data = [("big", f"c{i}", float(i)) for i in range(97)] + [("small", "c1", 1.0), ("small", "c1", 0.5)]
     df = spark.createDataFrame(data, "country string, city string, lat double")
-    nested = reshape.nested_lookup(df, "country", "city", ["lat"], chunk=10)
-    assert nested.where("country = 'big'").count() > 5
+    nested = reshape.nested_lookup(df, "country", "city", ["lat"], parts)
+    assert nested.where("country = 'big'").count() == parts
+    assert nested.where("country = 'small'").count() == 1
     want = sorted(data[:97] + [("small", "c1", 0.5)])
     assert rows(reshape.lookup_rows(nested, "country", "city")) == want
 

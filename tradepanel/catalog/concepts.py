@@ -19,8 +19,6 @@ from tradepanel.session import materialise
 
 HOME = "NATION_0"
 HOME_CODE = 0  # its nation key
-FIRST_YEAR, LAST_YEAR = 1995, 2001
-YEARS = list(range(FIRST_YEAR, LAST_YEAR + 1))
 LAST_HISTORY = 2000
 CUT_YEAR = 1998
 PANEL_KEY = ["year", "partner", "hs_code", "product"]
@@ -58,11 +56,18 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         join_dimension(rows, customer, "o_custkey", "c_custkey", ["o_orderkey"])
         .select(
             "o_orderkey", F.year("o_orderdate").alias("year"), F.col("c_nationkey").alias("buyer"),
-            F.col("c_acctbal").alias("buyer_balance"), F.col("o_totalprice").alias("total"), "o_orderdate",
+            F.col("c_acctbal").alias("buyer_balance"), F.col("o_totalprice").alias("total"), "o_orderdate", "o_orderpriority",
         )
     )
 
 
+def year_span(spark: SparkSession, folder: str) -> list[int]:
+    """All years from the first to the last order; one row reaches the driver."""
+    year = F.year("o_orderdate")
+    first, last = table(spark, folder, "orders").agg(F.min(year), F.max(year)).first()
+    return [] if first is None else list(range(first, last + 1))
+
+
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines with both nations and the product."""
     supplier = table(spark, folder, "supplier").select(
@@ -275,7 +280,7 @@ def panel(spark: SparkSession, folder: str) -> DataFrame:
     built = domain.panel_build(
         pairs, balance, entity_lag(outputs, "partner", "gdp", "gdp_lag1"),
         rate_of(sums).withColumnRenamed("buyer", "partner"), adjusted_rows,
-        home_gdp(outputs, HOME_CODE), HOME_CODE, FIRST_YEAR, LAST_YEAR,
+        home_gdp(outputs, HOME_CODE), HOME_CODE,
     )
     return _named(built.withColumnRenamed("partner", "code"), spark, folder)
 

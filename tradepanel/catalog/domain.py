@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tradepanel.catalog.concepts import (
-    YEARS, adjusted, define, flows, orders, pair_means, panel, table, trade, with_tables, _named,
+    adjusted, define, flows, orders, pair_means, panel, table, trade, with_tables, year_span, _named,
 )
 from tradepanel.catalog.registry import query
 from tradepanel.functions.scalars import exact_sum, log1p
@@ -168,19 +168,18 @@ def indicator_summary(spark, folder):
         F.col("flow").alias("indicator_type"), F.col("product").alias("indicator"), "year", "cell",
     )
     wide = widen(
-        named, ["reporter", "partner", "product_category", "indicator_type", "indicator"], "year", YEARS, "cell"
+        named, ["reporter", "partner", "product_category", "indicator_type", "indicator"], "year", year_span(spark, folder), "cell"
     )
     return domain.indicator_summary(wide, ["ECONOMY", "SMALL"], "All Products", "NATION_24")
 
 
-_MONTHS = [f"{y} {m}" for y in YEARS for m in "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()]
+_MONTH_NAMES = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
 
 
 def month_tables(spark, folder):
     """Customer orders (imports) and non-urgent orders (exports) with one column per month."""
-    rows = orders(spark, folder).join(
-        table(spark, folder, "orders").select("o_orderkey", "o_orderpriority"), "o_orderkey"
-    )
+    months = [f"{y} {m}" for y in year_span(spark, folder) for m in _MONTH_NAMES]
+    rows = orders(spark, folder)
     monthly = _named(
         rows.groupBy("buyer", F.date_format("o_orderdate", "yyyy MMM").alias("month_text")).agg(
             exact_sum("total").alias("imports"),
@@ -190,8 +189,8 @@ def month_tables(spark, folder):
     ).withColumn("country", F.concat(F.lit("    "), "country"))
     monthly = materialise(monthly, "monthly")
     return (
-        widen(monthly, ["country"], "month_text", _MONTHS, "imports"),
-        widen(monthly, ["country"], "month_text", _MONTHS, "exports"),
+        widen(monthly, ["country"], "month_text", months, "imports"),
+        widen(monthly, ["country"], "month_text", months, "exports"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradepanel.catalog.concepts import HOME, YEARS, gdp, pair_means, with_tables
+from tradepanel.catalog.concepts import HOME, gdp, pair_means, with_tables, year_span
 from tradepanel.catalog.registry import query
 from tradepanel.catalog.scans import _ports
 from tradepanel.functions.pairs import pair_text, parse_pair
@@ -12,14 +12,15 @@ from tradepanel.operators import project, reshape
 
 
 def _wide(spark, folder):
-    return reshape.widen(gdp(spark, folder), ["partner"], "year", YEARS, "gdp")
+    return reshape.widen(gdp(spark, folder), ["partner"], "year", year_span(spark, folder), "gdp")
 
 
 @query("unpivot_years", with_tables("gdp", body="SELECT partner, year, gdp FROM gdp"))
 def unpivot_years(spark, folder):
     """Yearly columns whose names are generated, then melted."""
-    unnamed = _wide(spark, folder).toDF("partner", *[f"column {i}" for i in range(len(YEARS))])
-    named = project.number_names(unnamed, 1, YEARS[0])
+    wide = _wide(spark, folder)
+    unnamed = wide.toDF("partner", *[f"column {i}" for i in range(len(wide.columns) - 1)])
+    named = project.number_names(unnamed, 1, int(wide.columns[1]))
     return reshape.melt_years(named, ["partner"], "gdp").dropna()
 
 

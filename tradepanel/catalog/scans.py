@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradepanel.catalog.concepts import YEARS, gdp, orders, table, trade, with_tables
+from tradepanel.catalog.concepts import gdp, orders, table, trade, with_tables, year_span
 from tradepanel.catalog.registry import query
 from tradepanel.operators.filters import numeric_key_rows
 from tradepanel.operators.ordering import drop_leading_rows
@@ -25,11 +25,12 @@ def scan_project(spark, folder):
 @query("scan_preamble_csv", with_tables("gdp", body="SELECT partner, year, gdp FROM gdp"))
 def scan_preamble_csv(spark, folder):
     """Wide yearly output under a preamble, with a trailing unnamed column, read back long."""
-    wide = widen(gdp(spark, folder), ["partner"], "year", YEARS, "gdp")
-    names = ",".join(["Country Name", *map(str, YEARS)])
+    years = [str(y) for y in year_span(spark, folder)]
+    wide = widen(gdp(spark, folder), ["partner"], "year", years, "gdp")
+    names = ",".join(["Country Name", *years])
     preamble = ["﻿\"Data Source\",\"Order totals\"", "", "\"Last Updated Date\"", f"{names},"]
     head = spark.createDataFrame([(line,) for line in preamble], "line string")
-    body = wide.select(F.concat(F.to_csv(F.struct("partner", *[str(y) for y in YEARS])), F.lit(",")).alias("line"))
+    body = wide.select(F.concat(F.to_csv(F.struct("partner", *years)), F.lit(",")).alias("line"))
     path = fresh_path(spark, "preamble-csv")
     head.unionByName(body).write.text(path)
     read = read_preamble_csv(spark, path, "Country Name", {"Country Name": "string"})

@@ -47,16 +47,15 @@ def symmetrise(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def nested_lookup(df: DataFrame, outer: str, inner: str, fields: Sequence[str], chunk: int = 10_000) -> DataFrame:
-    """Group rows into one map (inner key -> struct) per outer key.
+def nested_lookup(df: DataFrame, outer: str, inner: str, fields: Sequence[str], parts: int = 1) -> DataFrame:
+    """Group rows into one map (inner key -> struct) per outer key and hash part of the inner key.
 
-    Repeated inner keys are made unique first, keeping the smallest struct. An outer key
-    with more than ``chunk`` inner keys is split by hash over several rows (``part``), so
-    that no map grows without bound and no entry is lost.
+    Repeated inner keys are made unique first, keeping the smallest struct. ``part`` runs from 0
+    to ``parts`` - 1 at every size of the data; with one part, the default, an outer key is one row.
+    Where an outer key can have very many inner keys, more parts keep each map small.
     """
     unique = df.groupBy(outer, inner).agg(F.min(F.struct(*fields)).alias("_entry"))
-    sizes = unique.groupBy(outer).agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk)).alias("_parts"))
-    placed = unique.join(sizes, outer).withColumn("part", F.pmod(F.xxhash64(inner), F.col("_parts")))
+    placed = unique.withColumn("part", F.pmod(F.xxhash64(inner), F.lit(parts)).cast("int"))
     return placed.groupBy(outer, "part").agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(inner), F.col("_entry"))))).alias("lookup")
     )

@@ -8,17 +8,22 @@ hash, and only the dimension rows of frequent keys are repeated, once per salt.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Spark's own default limit for broadcasting a side.
-LARGE_DIMENSION_BYTES = 10 << 20
 FREQUENT_SHARE = 0.001
 SALTS = 64
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Largest side, in bytes, that Spark broadcasts by itself; negative if it broadcasts none."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)i?b?", spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def planned_bytes(df: DataFrame) -> int:
     """Size of a frame as Spark's planner sees it; for a table scan that of its files."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -42,18 +47,21 @@ def join_dimension(
     how: str = "inner",
     fact_scan: DataFrame | None = None,
     dim_scan: DataFrame | None = None,
-    large: int = LARGE_DIMENSION_BYTES,
+    large: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join facts to a dimension with unique keys, safe for hot fact keys.
 
     ``spread_by`` are fact columns that differ between rows of one key. The scans are the
     bare tables behind both sides: key frequencies and the dimension's size are taken
-    from them, so that nothing derived is computed twice.
+    from them, so that nothing derived is computed twice. ``large`` is the size above which a
+    dimension is not broadcast, by default the session's own setting.
     """
     if how not in ("inner", "left"):
         raise ValueError("a dimension is joined inner or left")
     match = F.col(fact_key) == F.col(dim_key)
+    if large is None:
+        large = broadcast_limit(facts.sparkSession)
     if planned_bytes(dim_scan if dim_scan is not None else dim) <= large:
         return facts.join(dim, match, how)
     hot = frequent_keys(fact_scan if fact_scan is not None else facts, fact_key)

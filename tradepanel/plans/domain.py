@@ -60,12 +60,15 @@ def pair_distance(votes: DataFrame, names: DataFrame, targets: Sequence[str] | N
     )
 
 
-def home_pairs(pairs: DataFrame, home: str | int, first_year: int, last_year: int) -> DataFrame:
-    """Pairs with the home country in a span of years, with the other side as ``partner``."""
+def home_pairs(pairs: DataFrame, home: str | int, first_year: int | None = None, last_year: int | None = None) -> DataFrame:
+    """Pairs with the home country, in a span of years if one is given, with the other side as ``partner``."""
     c1, c2 = F.col("pair")[0], F.col("pair")[1]
-    return pairs.where(involves(c1, c2, home) & F.col("year").between(first_year, last_year)).withColumn(
-        "partner", counterparty(c1, c2, home)
-    )
+    own = pairs.where(involves(c1, c2, home))
+    if first_year is not None:
+        own = own.where(F.col("year") >= first_year)
+    if last_year is not None:
+        own = own.where(F.col("year") <= last_year)
+    return own.withColumn("partner", counterparty(c1, c2, home))
 
 
 def agreement_adjust(
@@ -222,7 +225,7 @@ def partner_coverage(
 
 def panel_build(
     pairs: DataFrame, trade: DataFrame, gdp: DataFrame, rates: DataFrame, agreements: DataFrame,
-    home_gdp: DataFrame, home: str | int, first_year: int, last_year: int,
+    home_gdp: DataFrame, home: str | int, first_year: int | None = None, last_year: int | None = None,
 ) -> DataFrame:
     """The (partner, year, product) panel with all covariates.
 
