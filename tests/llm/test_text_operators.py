@@ -251,6 +251,21 @@ def test_word_hashes_do_not_depend_on_the_batch():
         assert bytescan.shingle_sets([t])[0].tolist() == s.tolist()
 
 
+@pytest.mark.parametrize("most", [1, 7, 1 << 20])
+def test_components_of_random_links(spark, most):
+    rng = np.random.default_rng(most)
+    links = [(int(a), int(b)) for a, b in rng.integers(-90, 90, (70, 2))] + [(500, x) for x in range(200, 320)] + [(None, 3), (4, None)]
+    root = {x: x for link in links for x in link if None not in link and link[0] != link[1]}
+    for _ in root:
+        for a, b in links:
+            if a in root and b in root:
+                root[a] = root[b] = min(root[a], root[b])
+    frame = spark.createDataFrame(links * 2, "a long, b long").repartition(5)
+    got = components.components(frame, most).collect()
+    assert len(got) == len(root) and dict(got) == root
+    assert components.components(frame.limit(0)).count() == 0
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = dict(components.components(spark.createDataFrame(links, "a long, b long")).collect())
