@@ -235,8 +235,9 @@ def near_duplicates(
     joined = components(found.where("b is not null").select("a", "b")).withColumnsRenamed({"id": "uid", "component": "class"})
     per_vector = distinct.select("uid", "times").join(links, "uid", "left").join(joined, "uid", "left")
     per_vector = per_vector.select("uid", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("links"), F.coalesce("class", "uid").alias("class"))
-    marked = materialise(own.join(per_vector, "uid", "left"), "marked")
-    smallest = marked.where("class is not null").groupBy("class").agg(F.min("vec_id").alias("smallest"))
+    # Both are written, so that the joins read plain tables and a vector or class of any size can be split by adaptive execution.
+    marked = materialise(own.join(materialise(per_vector, "per-vector"), "uid", "left"), "marked")
+    smallest = materialise(marked.where("class is not null").groupBy("class").agg(F.min("vec_id").alias("smallest")), "smallest")
     component = F.coalesce("smallest", "vec_id")
     return marked.join(smallest, "class", "left").select(
         "vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
