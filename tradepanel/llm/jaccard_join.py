@@ -401,7 +401,8 @@ def similarity_classes(docs: DataFrame, p: int = 3, q: int = 4, size: int = 5, k
     joined = components(links).withColumnsRenamed({"id": "set_id", "component": "class"})
     marked = own.drop("key").join(joined, "set_id", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("class", "set_id")))
     marked = materialise(marked, "classes")
-    smallest = marked.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that the join reads two plain tables and a class of any size can be split by adaptive execution.
+    smallest = materialise(marked.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id")), "smallest")
     return marked.join(smallest, "class", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
