@@ -290,6 +290,24 @@ def test_main_text(page, text):
     assert html_density.main_text(page) == text
 
 
+_LINE = "Plain words of a long and even line that tells the reader something. "
+
+
+@pytest.mark.parametrize(
+    "inside",
+    [
+        "".join(f"<section>{''.join(f'<p>{i}{j} {_LINE * 7}</p>' for j in range(5))}</section>" for i in range(3)),
+        "".join(f"<div><div><div>{''.join(f'<p>{i}{j} {_LINE * 7}</p>' for j in range(5))}</div></div></div>" for i in range(4)),
+        f"{f'<p>{_LINE * 4}</p>' * 3}<ul>{f'<li>{_LINE}</li>' * 40}</ul>",
+        f"{f'<p>{_LINE * 4}</p>' * 3}<table>{f'<tr><td>{_LINE}</td><td>{_LINE}</td></tr>' * 30}</table>{f'<p>{_LINE * 4}</p>' * 2}",
+    ],
+    ids=["sections", "nested divs", "long list", "table"],
+)
+def test_all_parts_of_an_article_are_kept(inside):
+    page = f"<nav><a href=x>Menu item</a></nav><article>{inside}</article><footer>f</footer>"
+    assert html_density.main_text(page) == " ".join(re.sub("<[^>]*>", " ", inside).split())
+
+
 def test_pages_table(spark, folder):
     pages = spark.read.parquet(f"{folder}/pages.parquet")
     for r in html_density.extract(pages).join(pages.select("page_id", "html"), "page_id").collect():

@@ -5,7 +5,8 @@ comments of readers, scripts and styles are no part of the article and are cut f
 node has a density: characters per tag, adjusted by how much of its text lies in links. The density sum of a
 node adds the densities of its children. The node with the largest sum holds the text's densest
 surroundings; the smallest density on the path from it up to the body is the threshold. From the body
-downwards, in every child whose density reaches the threshold, the subtree with the largest sum is kept.
+downwards, in every child whose density reaches the threshold, the subtree with the largest sum is marked,
+and the child's own children are gone through alike. Marked subtrees are kept, those inside others once.
 """
 
 from __future__ import annotations
@@ -192,13 +193,17 @@ def _open(node: Node | None, name: str, barrier: tuple) -> Node | None:
     return None
 
 
+def _below(node: Node) -> list[Node]:
+    return [c for c in node.children if isinstance(c, Node) and not c.aside]
+
+
 def _nodes(body: Node) -> list[Node]:
     """Nodes outside cut subtrees, parents before children."""
     out, todo = [], [body]
     while todo:
         node = todo.pop()
         out.append(node)
-        todo.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.aside)
+        todo.extend(reversed(_below(node)))
     return out
 
 
@@ -241,12 +246,24 @@ def content(body: Node) -> list[Node]:
         path = path.parent
     if top is body:
         return [body]
+    largest: dict[int, Node] = {}  # of each node's subtree
+    for node in reversed(nodes):
+        largest[id(node)] = _largest([node, *(largest[id(c)] for c in _below(node))])
+    marked, todo = set(), [body]
+    while todo:
+        for child in _below(todo.pop()):
+            if child.density >= threshold:
+                best = largest[id(child)]
+                marked.add(id(best))
+                if best is not child:
+                    todo.append(child)
     kept, todo = [], [body]
     while todo:
-        node = todo.pop(0)
-        for child in node.children:
-            if isinstance(child, Node) and not child.aside and child.density >= threshold:
-                kept.append(_largest(_nodes(child)))
+        node = todo.pop()
+        if id(node) in marked:
+            kept.append(node)
+        else:
+            todo.extend(reversed(_below(node)))
     return kept
 
 
