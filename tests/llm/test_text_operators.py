@@ -308,6 +308,26 @@ def test_all_parts_of_an_article_are_kept(inside):
     assert html_density.main_text(page) == " ".join(re.sub("<[^>]*>", " ", inside).split())
 
 
+@pytest.mark.parametrize(
+    "names",
+    ['class="content with-sidebar"', "class=no-sidebar", 'class="header-fixed"', "class='layout nav-open'", 'class="page login"',
+     'class="related-work"', "id=search-results", 'class="share-prices"', 'id="main-form" role=search'],
+)
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_names_do_not_cut_what_holds_the_article(names, tag):
+    inside = f"<{tag}>{f'<p>{_LINE * 5}</p>' * 4}<div class='comments'><p>{_LINE}</p></div></{tag}>"
+    want = f"{_LINE * 20}".strip()
+    page = f"<div class=top-nav><a href=x>Menu item</a></div><div {names}>{inside}<div class=sidebar>{_LINE}</div></div>"
+    assert html_density.main_text(page) == want
+    assert html_density.main_text(f"<form>{page}<input></form>") == want
+
+
+def test_sections_named_like_a_marker_are_kept():
+    parts = [f"<section {x}>{f'<p>{i} {_LINE * 7}</p>' * 5}</section>" for i, x in enumerate(("class=related-work", "id=search-results", "class=share-prices"))]
+    got = html_density.main_text(f"<article>{''.join(parts)}<div class='related'><p>{_LINE * 7}</p></div></article>")
+    assert got == " ".join(re.sub("<[^>]*>", " ", "".join(parts)).split())
+
+
 def test_pages_table(spark, folder):
     pages = spark.read.parquet(f"{folder}/pages.parquet")
     for r in html_density.extract(pages).join(pages.select("page_id", "html"), "page_id").collect():

@@ -1,7 +1,9 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of its block elements. Menus, headers, footers, sidebars, adverts, notices, forms,
-comments of readers, scripts and styles are no part of the article and are cut first. Each remaining
+comments of readers, scripts and styles are no part of the article and are cut first. Where only names
+(class, id, role) or a form say so, an element is spared that holds an article or main element or, on a
+page without these, more than half of the text outside links. Each remaining
 node has a density: characters per tag, adjusted by how much of its text lies in links. The density sum of a
 node adds the densities of its children. The node with the largest sum holds the text's densest
 surroundings; the smallest density on the path from it up to the body is the threshold. From the body
@@ -39,7 +41,7 @@ ENDS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select"}),
 }
-# Elements and words of class, id or role that mark what is not the article.
+# Elements, and names in class, id or role, that mark what is not the article.
 ASIDE = frozenset("nav footer aside form script style head template select button textarea title noscript iframe dialog menu svg canvas object audio video input".split())
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner promo promotion sponsor sponsored nav navbar navigation menu breadcrumb "
@@ -47,6 +49,10 @@ ASIDE_WORDS = frozenset(
     "modal overlay newsletter subscribe signup social share sharing related recommended toolbar pagination pager search login form "
     "complementary contentinfo alert".split()
 )
+#: Words that make a name tell of the layout, as in "with-sidebar".
+LAYOUT_WORDS = frozenset("with without no not non has have is hide show".split())
+#: How an element is cut: by its kind or by being hidden, or unless it holds the article.
+CERTAIN, NAMED = 2, 1
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?(?:until|false))|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
@@ -56,25 +62,30 @@ _WORDS = re.compile(r"[A-Za-z]+")
 class Node:
     __slots__ = ("name", "parent", "children", "aside", "chars", "link_chars", "tags", "link_tags", "density", "total")
 
-    def __init__(self, name: str, parent: Node | None, aside: bool):
+    def __init__(self, name: str, parent: Node | None, aside: int):
         self.name, self.parent, self.aside = name, parent, aside
         self.children: list[Node | str] = []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def is_aside(name: str, attributes: str, inside_article: bool) -> bool:
-    if name in ASIDE or name == "header" and not inside_article:
-        return True
-    if not attributes or name in ("html", "body", "article", "main"):
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    for m in _ATTRIBUTE.finditer(attributes):
-        words = {w.lower() for w in _WORDS.findall(m[2] or m[3] or m[4] or "")}
-        if words & ASIDE_WORDS:
-            return True
-    return False
+def marks_aside(name: str) -> bool:
+    """Whether a single class, id or role is a marker word, or a compound whose last word is one ("top-nav", "ad_1")."""
+    words = [w.lower() for w in _WORDS.findall(name)]
+    return bool(words) and words[-1] in ASIDE_WORDS and LAYOUT_WORDS.isdisjoint(words)
+
+
+def is_aside(name: str, attributes: str, inside_article: bool) -> int:
+    """0, ``NAMED`` or ``CERTAIN``."""
+    if name in ASIDE and name != "form" or name == "header" and not inside_article:
+        return CERTAIN
+    if attributes and name not in ("html", "body", "article", "main"):
+        if _HIDDEN.search(attributes):
+            return CERTAIN
+        for m in _ATTRIBUTE.finditer(attributes):
+            if any(map(marks_aside, (m[2] or m[3] or m[4] or "").split())):
+                return NAMED
+    return NAMED if name == "form" else 0
 
 
 def _tag_end(page: str, at: int) -> int:
@@ -182,9 +193,29 @@ def parse(page: str) -> Node:
             continue
         if not attributes.endswith("/") or name not in ("svg", "path"):
             now, links = new, 0
+    spare(body)
     return body
 
 
+def spare(body: Node) -> None:
+    """Take back the cut of elements that only their names cut, if they hold the article."""
+    seen, todo = [], [body]
+    while todo:
+        node = todo.pop()
+        seen.append(node)
+        todo.extend(c for c in node.children if isinstance(c, Node) and c.aside != CERTAIN)
+    words: dict[int, int] = {}  # characters outside links, of each node's subtree
+    holds: dict[int, bool] = {}  # whether an article or main element is below
+    for node in reversed(seen):
+        inner = [c for c in node.children if isinstance(c, Node) and c.aside != CERTAIN]
+        own = sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str)) - node.link_chars
+        words[id(node)] = own + sum(words[id(c)] for c in inner)
+        holds[id(node)] = any(c.name in ("article", "main") or holds[id(c)] for c in inner)
+    for node in seen:
+        if node.aside and (holds[id(node)] or not holds[id(body)] and words[id(node)] * 2 > words[id(body)]):
+            node.aside = 0
+
+
 def _open(node: Node | None, name: str, barrier: tuple) -> Node | None:
     while node is not None and node.name not in barrier:
         if node.name == name:
