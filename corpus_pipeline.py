@@ -6,10 +6,12 @@ kept, written as Parquet and read again, and all but the last return the columns
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradepanel.llm import best_fit, jaccard_join, line_crf, quality_rules
+from tradepanel.llm.common import read_file
 from tradepanel.session import materialise
 
 
@@ -41,8 +43,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document stands in the packed sequences."""
-    return best_fit.pack_documents(docs)
+    """Where each document stands in the packed sequences, in tokens."""
+    return best_fit.pack_texts(docs, read_file(public_tokenizers.path("byte_bpe_50k.json")), public_tokenizers.PATTERN)
 
 
 STAGES = [("quality rules", rules), ("quality classifier", classifier), ("n-gram Jaccard join", near_copies), ("best-fit packing", packing)]

@@ -15,8 +15,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tradepanel.llm import (
-    best_fit, byte_bpe, bytescan, chat_template, components, cross_polytope, hilbert_shards, html_density, jaccard_join, line_crf,
+    best_fit, byte_bpe, bytescan, chat_template, components, cross_polytope, entries, hilbert_shards, html_density, jaccard_join, line_crf,
     pieces, quality_rules, token_transducer,
 )
 from tradepanel.llm.common import read_file
@@ -185,6 +186,31 @@ def test_packing_places_every_piece_once(odd, empty):
     assert best_fit.pack_documents(empty).count() == 0
 
 
+def test_registered_packing_is_in_tokens_of_the_library(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    want = collections.Counter({r.doc_id: len(TOKENIZER.encode(r.text or "", add_special_tokens=False).ids) for r in docs.collect()})
+    for rows in (entries.op5_best_fit(spark, folder).collect(), corpus_pipeline.packing(spark, docs, folder).collect()):
+        got, used, capacity = collections.Counter(), collections.Counter(), {}
+        for r in rows:
+            got[r.doc_id] += r.length
+            if r.length:
+                used[r.bin_id] += r.length
+                capacity[r.bin_id] = r.capacity
+        assert got == want
+        assert all(used[b] <= c <= max(best_fit.CAPACITIES) for b, c in capacity.items())
+
+
+def test_tokens_of_odd_rows_are_packed(odd, empty):
+    got = collections.Counter()
+    for r in best_fit.pack_texts(odd, FILE, P.PATTERN).collect():
+        got[r.doc_id] += r.length
+    want = collections.Counter()
+    for i, t, *_ in ODD:
+        want[i] += len(TOKENIZER.encode(t or "", add_special_tokens=False).ids)
+    assert got == want
+    assert best_fit.pack_texts(empty, FILE, P.PATTERN).count() == 0
+
+
 # ------------------------------------------------------------------ similar documents
 
 

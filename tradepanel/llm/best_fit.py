@@ -21,7 +21,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradepanel.llm import token_transducer
 from tradepanel.llm.common import map_batches, utf8_size
+from tradepanel.session import materialise
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 BIN_COST = 64  # fixed cost of a sequence, in tokens
@@ -126,8 +128,8 @@ def pack_documents(
 ) -> DataFrame:
     """Pack documents: ``doc_id``, ``piece``, ``start``, ``length``, ``bin_id``, ``capacity``, ``offset`` of every piece.
 
-    ``length`` is the length of a row in tokens; by default its UTF-8 bytes at four to a token, rounded
-    up. A document longer than the largest capacity is cut into pieces of that capacity, the last one
+    ``length`` is the length of a row in tokens; by default a guess, its UTF-8 bytes at four to a token,
+    rounded up (``pack_texts`` counts). A document longer than the largest capacity is cut into pieces of that capacity, the last one
     shorter; all others are one piece. A null or empty text has one piece of length 0 without bin (null
     bin_id, capacity and offset). Repeated rows are packed as often as they stand there. An empty
     table gives no rows.
@@ -183,3 +185,14 @@ def pack_documents(
         yield out | {c: pa.array(v, mask=none) for c, v in where.items()}
 
     return map_batches(numbered, run, PACKED)
+
+
+def pack_texts(
+    docs: DataFrame, file: bytes, pattern: str, capacities: Sequence[int] = CAPACITIES, bin_cost: int = BIN_COST, key: str = "doc_id"
+) -> DataFrame:
+    """Pack documents by the tokens of their texts, as the tokenizer of a .json file counts them.
+
+    Texts are counted once; the counts, two numbers a row, are written, as packing reads them three times.
+    """
+    counted = token_transducer.count_tokens(docs, file, pattern, key=key).select("doc_id", "n_tokens")
+    return pack_documents(materialise(counted, "token-counts"), F.col("n_tokens"), capacities, bin_cost)

@@ -38,7 +38,8 @@ def op4_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_best_fit(spark: SparkSession, folder: str) -> DataFrame:
-    return best_fit.pack_documents(read_table(spark, folder, "documents"))
+    file = read_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return best_fit.pack_texts(read_table(spark, folder, "documents"), file, public_tokenizers.PATTERN)
 
 
 def op6_token_transducer(spark: SparkSession, folder: str) -> DataFrame:
