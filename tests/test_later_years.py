@@ -39,6 +39,13 @@ def test_later_years_are_kept(spark, later, name):
     assert 2003 in {r[order.index("year")] for r in left}
 
 
+def test_learned_scores_of_later_years_are_kept(spark, later):
+    rows = runners()["learned_score"](spark, later).collect()
+    years = {r.year for r in rows}
+    assert years == set(range(min(years), 2004)) and len(rows) == 24 * len(years)
+    assert any(r.score != "No data" for r in rows if r.year == 2003)
+
+
 @pytest.mark.parametrize("text, size", [("10485760b", 10 << 20), ("10MB", 10 << 20), ("-1", -1), ("2g", 2 << 30)])
 def test_broadcast_limit_is_the_sessions(spark, text, size):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

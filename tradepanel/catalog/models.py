@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradepanel.catalog.concepts import HOME, define, orders, table, with_tables
+from tradepanel.catalog.concepts import HOME, define, orders, table, with_tables, year_span
 from tradepanel.catalog.domain import geo
 from tradepanel.catalog.features import FEATURES, KEY, LABEL, written_model_rows
 from tradepanel.catalog.registry import query
@@ -360,6 +360,6 @@ def learned_score(spark, folder):
     scores = models.predict(model, rows, "score").select("partner", "year", F.round("score", 2).alias("score"))
     grid = joins.spine(
         table(spark, folder, "nation").select(F.col("n_name").alias("partner")).where(F.col("partner") != HOME),
-        list(range(1995, 2002)),
+        year_span(spark, folder),
     )
     return joins.fill_spine(grid, scores, ["partner", "year"], "score")
