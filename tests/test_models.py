@@ -4,6 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tradepanel.catalog import forecasts as forecast_queries
+from tradepanel.catalog import models as model_queries
+from tradepanel.functions import fixed_values as fixed
 from tradepanel.operators import features, forecasting, models, validation
 
 
@@ -264,3 +267,39 @@ def test_log_correction(spark):
     assert got[3]["change_raw_pct"] == pytest.approx((predicted[3] - actual[3]) / actual[3] * 100)
     assert got[99]["corrected"] is not None and got[99]["change_raw_pct"] is None
     assert got[98]["corrected"] is None
+
+
+def test_registered_fits_have_their_full_size(spark, monkeypatch):
+    searched, compared, fitted = {}, {}, []
+
+    class Stop(Exception):
+        pass
+
+    def search(folded, inputs, label, kind, candidates, folds):
+        searched[kind] = (candidates, list(folds))
+        return spark.createDataFrame([(0, "p", 0.5)], "candidate int, params string, r2 double")
+
+    def compare(folded, inputs, label, kinds):
+        compared.update(kinds)
+        raise Stop
+
+    def fit(rows, inputs, label, kind, **params):
+        fitted.append((kind, params))
+        raise Stop
+
+    monkeypatch.setattr(model_queries, "_panel_folds", lambda *a: None)
+    monkeypatch.setattr(model_queries, "written_model_rows", lambda *a: None)
+    monkeypatch.setattr(forecast_queries, "_history", lambda *a: None)
+    monkeypatch.setattr(validation, "search", search)
+    monkeypatch.setattr(model_queries.modelling, "compare_models", compare)
+    monkeypatch.setattr(models, "fit", fit)
+    assert {r.model for r in model_queries.grid_search(spark, "").collect()} == {"forest", "boost"}
+    for run in (model_queries.model_compare, model_queries.rf_fit, model_queries.gbt_fit, forecast_queries.forecast_all_features):
+        with pytest.raises(Stop):
+            run(spark, "")
+    assert searched == {
+        "forest": (validation.grid(**fixed.FOREST_GRID), [1, 2, 3, 4, 5]), "boost": (validation.grid(**fixed.BOOST_GRID), [1, 2, 3, 4, 5])
+    }
+    assert [len(searched[k][0]) for k in ("forest", "boost")] == [27, 72]
+    assert compared["forest"][1]["trees"] == 100 and compared["boost"] == ("boost", fixed.BOOST_DEFAULT)
+    assert [(kind, params["trees"]) for kind, params in fitted] == [("forest", 100), ("boost", 200), ("boost", 200)]

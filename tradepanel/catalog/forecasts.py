@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tradepanel.catalog.concepts import LAST_HISTORY, define, trade, with_tables
 from tradepanel.catalog.features import FEATURES, LABEL, written_model_rows
 from tradepanel.catalog.registry import query
+from tradepanel.functions import fixed_values as fixed
 from tradepanel.functions.fixed_values import ALL_PRODUCTS, ALL_PRODUCTS_CODE
 from tradepanel.functions.scalars import exact_sum, log_floor
 from tradepanel.operators import forecasting, models
@@ -51,7 +52,7 @@ def forecast_one(spark, folder):
 def forecast_all_features(spark, folder):
     """One-step forecast with every feature and boosted trees."""
     rows = _history(spark, folder)
-    model = models.fit(rows, FEATURES, LABEL, "boost", scale=False, trees=5, depth=3)
+    model = models.fit(rows, FEATURES, LABEL, "boost", scale=False, **fixed.BOOST_DEFAULT)
     return forecasting.forecast_one(rows, model, "imports", "log_imports_lag1", _SERIES, ["year"])
 
 

@@ -111,7 +111,7 @@ def ols_gram(spark, folder):
 
 @query("rf_fit")
 def rf_fit(spark, folder):
-    model = models.fit(written_model_rows(spark, folder), FEATURES, LABEL, "forest", scale=False, trees=20, depth=5)
+    model = models.fit(written_model_rows(spark, folder), FEATURES, LABEL, "forest", scale=False, trees=100, depth=5)
     return models.ranked_features(spark, model)
 
 
@@ -120,7 +120,7 @@ def gbt_fit(spark, folder):
     """Boosted trees with the product as an indexed category."""
     model = models.fit(
         written_model_rows(spark, folder), FEATURES, LABEL, "boost", scale=False, categories=["product"],
-        trees=10, depth=3, rate=0.1, subsample=0.8,
+        **fixed.BOOST_DEFAULT,
     )
     return models.ranked_features(spark, model)
 
@@ -334,9 +334,13 @@ def search_all_features(spark, folder):
 
 @query("grid_search")
 def grid_search(spark, folder):
-    """Boosted-tree search over a few parameter sets on expanding folds."""
-    candidates = validation.grid(trees=[3], rate=[0.1], depth=[2, 3])
-    return validation.search(_panel_folds(spark, folder), FEATURES, LABEL, "boost", candidates, [4, 5])
+    """Forest and boosted-tree search over the full grids on all expanding folds, best first."""
+    folded = _panel_folds(spark, folder)
+    found = [
+        validation.search(folded, FEATURES, LABEL, kind, validation.grid(**axes), range(1, 6)).withColumn("model", F.lit(kind))
+        for kind, axes in (("forest", fixed.FOREST_GRID), ("boost", fixed.BOOST_GRID))
+    ]
+    return found[0].unionByName(found[1]).orderBy(F.col("r2").desc(), "model", "candidate")
 
 
 @query("model_compare")
@@ -344,7 +348,7 @@ def model_compare(spark, folder):
     """Mean fold metrics per kind of model, and the best one by R2."""
     kinds = {
         "ols": ("ols", {}), "ridge": ("ridge", {"alpha": 1.0}), "lasso": ("lasso", {"alpha": 0.1}),
-        "forest": ("forest", {"trees": 5, "depth": 5}), "boost": ("boost", {"trees": 3, "depth": 3}),
+        "forest": ("forest", {"trees": 100, "depth": 5}), "boost": ("boost", fixed.BOOST_DEFAULT),
     }
     means = materialise(modelling.compare_models(_panel_folds(spark, folder), FEATURES, LABEL, kinds), "means")
     return means.withColumn("best", F.col("model") == validation.best_model(means))
