@@ -29,17 +29,23 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of similar ones; a repeated id stays once.
+    """The document with the smallest id of each class of similar ones; a repeated id stays once in each class.
 
-    Documents without words, and without id, are in no class and stay. Only ids that go, or that are repeated,
-    meet the documents, so texts are not shuffled unless those are many.
+    Documents without words, and without id, are in no class and stay. Rows of one id with different texts are
+    told apart by their text. Only rows that go, or whose id is repeated in its class, meet the documents, so
+    texts are not shuffled unless those are many.
     """
-    classes = materialise(jaccard_join.similarity_classes(docs), "classes").where("doc_id is not null")
-    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    again = classes.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    rest = docs.join(gone.union(again), "doc_id", "left_anti").select(*docs.columns)
-    once = docs.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return rest.union(once)
+    on = ["doc_id", "_key"]
+    classes = materialise(jaccard_join.text_classes(docs).withColumnRenamed("key", "_key"), "classes").where("doc_id is not null")
+    gone = classes.where("doc_id <> component_id").select(on)
+    texts = classes.where("doc_id = component_id").groupBy("doc_id", "class", "_key").agg(F.count(F.lit(1)).alias("n"))
+    again = texts.groupBy(F.col("doc_id").alias("_id"), F.col("class").alias("_class")).agg(F.sum("n").alias("n"), F.min("_key").alias("_first"))
+    again = again.where("n > 1")
+    repeated = texts.join(again, (F.col("doc_id") == F.col("_id")) & F.col("class").eqNullSafe(F.col("_class")), "left_semi").select(on)
+    keyed = docs.withColumn("_key", jaccard_join.text_key(F.col("doc_id"), F.col("text")))
+    rest = keyed.join(gone.union(repeated).distinct(), on, "left_anti")
+    once = keyed.join(again.select(F.col("_id").alias("doc_id"), F.col("_first").alias("_key")), on, "left_semi").dropDuplicates(on)
+    return rest.select(*docs.columns).union(once.select(*docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

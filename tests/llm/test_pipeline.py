@@ -48,6 +48,16 @@ def test_repeated_ids_stay_once(spark, folder):
     assert sorted(str(r.doc_id) for r in got) == ["1", "3", "None"]
 
 
+def test_repeated_ids_with_own_texts_stay(spark, folder):
+    rows = [(1, "a b c d e f g"), (5, "A b c d e f g"), (5, "own words of this text here"), (6, "one two three four"), (6, "five six seven"),
+            (7, "x y z u v w"), (7, "X y z u v w"), (8, ""), (8, "")]
+    df = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id, (r.text or "").lower()) for r in corpus_pipeline.near_copies(spark, df, folder).collect())
+    assert got == [
+        (1, "a b c d e f g"), (5, "own words of this text here"), (6, "five six seven"), (6, "one two three four"), (7, "x y z u v w"), (8, "")
+    ]
+
+
 def test_every_operator_is_registered_once():
     names = list(__spark_entry__.queries())
     for n in range(1, 11):

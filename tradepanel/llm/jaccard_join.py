@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -379,9 +379,19 @@ def similarity_classes(docs: DataFrame, p: int = 3, q: int = 4, size: int = 5, k
     sets and thus linked; a null doc_id is never the smallest unless it is alone. An empty table gives
     no rows. Only the two named columns are read.
     """
+    return text_classes(docs, p, q, size, key, text).select("doc_id", "n_shingles", "component_id")
+
+
+def text_key(key: Column, text: Column) -> Column:
+    """Tells rows of one id with different texts apart."""
+    return F.xxhash64(key.cast("long"), text.cast("string"))
+
+
+def text_classes(docs: DataFrame, p: int = 3, q: int = 4, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``similarity_classes`` with the ``text_key`` of each row as ``key``, and its ``class`` (null without words)."""
     spark = docs.sparkSession
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    rows = rows.withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))  # rows without id are found again too
+    rows = rows.withColumn("key", text_key(F.col("doc_id"), F.col("text")))  # rows without id are found again too
     first = materialise(members(rows, size), "members")
     own = first.where("set_id is not null").select("doc_id", "key", "n", "set_id")
     hottest = first.where("shingle is not null").groupBy("shingle").agg(F.sum("count").alias("c"))
@@ -399,10 +409,10 @@ def similarity_classes(docs: DataFrame, p: int = 3, q: int = 4, size: int = 5, k
     sets = full_sets(rows, materialise(chosen(own, clusters, pairs), "chosen"), size)
     links = cluster_links(sets, p, q).union(verified(pairs, sets, p, q))
     joined = components(links).withColumnsRenamed({"id": "set_id", "component": "class"})
-    marked = own.drop("key").join(joined, "set_id", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("class", "set_id")))
+    marked = own.join(joined, "set_id", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("class", "set_id")))
     marked = materialise(marked, "classes")
     # Written, so that the join reads two plain tables and a class of any size can be split by adaptive execution.
     smallest = materialise(marked.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id")), "smallest")
     return marked.join(smallest, "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "key", "class", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
