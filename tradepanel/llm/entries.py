@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradepanel.llm import (
-    best_fit, byte_bpe, chat_template, cross_polytope, hilbert_shards, html_density, jaccard_join, line_crf, quality_rules, token_transducer,
+    best_fit, byte_bpe, chat_template, collocations, cross_polytope, hilbert_shards, html_density, jaccard_join, line_crf, quality_rules, spelling,
+    token_transducer, url_filter,
 )
 from tradepanel.llm.common import read_file, read_table
 
@@ -64,6 +65,20 @@ def op10_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
     return cross_polytope.near_duplicates(read_table(spark, folder, "embeddings"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, folder, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, folder, "documents"))
+
+
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    judged = url_filter.judge(read_table(spark, folder, "pages"), model)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -72,6 +87,6 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 RUNNERS = {f.__name__: f for f in (
     op1_quality_rules, op2_byte_bpe_tree, op3_chat_template, op4_hilbert_shards, op5_best_fit, op6_token_transducer, op7_jaccard_join,
-    op8_html_density, op9_line_crf, op10_cross_polytope, pipeline,
+    op8_html_density, op9_line_crf, op10_cross_polytope, op11_collocations, op12_spelling_variants, op13_url_filter, pipeline,
 )}
-ORACLES = {"op1_quality_rules": quality_rules.SQL}
+ORACLES = {"op1_quality_rules": quality_rules.SQL, "op11_collocations": collocations.SQL}
