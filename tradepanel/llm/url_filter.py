@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,8 +96,7 @@ def train(
 ) -> Model:
     """Fit on ``url`` and ``label`` (1: block, 0: allow); rows with a null in either are left out.
 
-    Every labelled row becomes a vector of ``slots`` numbers, so the table has to be small, as the method says; the URLs that
-    are judged later are not touched here. ``prior`` is the share of unwanted URLs to expect. Without rows of both labels the model knows nothing and allows everything.
+    The URLs that are judged later are not touched here. ``prior`` is the share of unwanted URLs to expect. Without rows of both labels the model knows nothing and allows everything.
     """
     known = labelled.where("url is not null and label is not null")
     counts = {r["label"]: r["n"] for r in known.groupBy(F.col("label").cast("double").alias("label")).agg(F.count(F.lit(1)).alias("n")).where("label in (0, 1)").collect()}
@@ -105,11 +104,12 @@ def train(
         return Model((0.0,) * slots, -1.0, tuple(sizes))
     rows = known.where("label in (0, 1)").select(F.col("label").cast("double").alias("label"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rows = rows.withColumn("slots", ngram_slots("host", "path", sizes, slots))
-    dense = F.expr(f"transform(sequence(0, {slots - 1}), i -> if(array_contains(slots, cast(i as bigint)), 1D, 0D))")
+    rows = rows.withColumn("slots", F.col("slots").cast("array<string>"))
+    vectors = CountVectorizerModel.from_vocabulary([str(i) for i in range(slots)], inputCol="slots", outputCol="features")
     # Unwanted rows weigh ``prior`` in all, however many there are.
     total = sum(counts.values())
     weight = F.when(F.col("label") == 1, F.lit(prior * total / counts[1.0])).otherwise(F.lit((1 - prior) * total / counts[0.0]))
-    data = rows.select("label", array_to_vector(dense).alias("features"), weight.alias("weight")).coalesce(1)
+    data = vectors.transform(rows.withColumn("weight", weight)).select("label", "features", "weight").coalesce(1)
     fitted = LogisticRegression(regParam=penalty, standardization=False, weightCol="weight", maxIter=rounds).fit(data)
     return Model(tuple(float(w) for w in fitted.coefficients), float(fitted.intercept), tuple(sizes))
 
