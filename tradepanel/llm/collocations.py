@@ -4,9 +4,10 @@ A task counts phrases in a trie over word ids: the first levels are tables of ch
 burst into a level of their own when they get full. When the trie outgrows its budget, whole subtrees are written out as
 sorted runs, the largest first. Spark deals the runs by prefix partition and adds them up there.
 
-Three passes over the texts count words, pairs, and phrases of three and four words. A phrase can be frequent only if its words
-and its pairs are, so each later pass counts what a filter of the frequent ones before it lets through. A filter has a
-fixed number of bits, whatever the corpus; a bit set in vain costs a count that is dropped later, and loses nothing.
+A phrase can be frequent only if its words and its pairs are. One pass over the texts counts words; two passes sieve pairs, and then phrases
+of three and four words, by counting hash slots instead of phrases; the last pass counts the phrases that came through, exactly. What is
+frequent goes from pass to pass as a filter with a fixed number of bits, whatever the corpus; a bit set in vain, or two phrases in
+one slot, cost a count that is dropped later, and lose nothing.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ SLICES = 64  # of a prefix partition, so that a frequent first word is no task o
 FULL = 8192  # entries of a container that bursts
 BUDGET = 400_000  # entries of a trie before subtrees are written out
 RUN_ROWS = 20_000  # of a batch of runs
+SLOT_BITS = 32  # of the hash slots that sieve phrases
+BUCKET_BITS = 12  # slots are dealt by their first bits; a task holds the counts of one bucket at a time
+HELD = 2_000_000  # slots that a task adds up before it passes them on
 TEXT_BUDGET = 32 << 20  # bytes of words that a task holds
 ID_BITS = 21  # of a word id inside a container's key
 MOST_WORDS = 4
@@ -169,30 +173,30 @@ def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return _mix(a * np.uint64(0x9E3779B97F4A7C15) + b)
 
 
-def frequent_filter(frequent: DataFrame, bits: int = FILTER_BITS) -> Filter:
-    """A filter of a table of words, or of pairs of words (``lang``, ``phrase``), built by an aggregation over its bits.
+def _collected(rows: DataFrame, bits: int) -> Filter:
+    """A filter from rows ``slot`` (of 64 bits) and ``bit``: at most ``bits`` / 64 numbers come to the driver."""
+    slots = rows.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(bits // 64, np.uint64)
+    out[slots["slot"].to_numpy()] = slots["bits"].to_numpy().view(np.uint64)
+    return Filter(out)
 
-    What comes to the driver is the filter itself, at most ``bits`` / 64 numbers, however large the table.
-    """
+
+def _filter_bits(keys: np.ndarray, bits: int) -> pa.RecordBatch:
+    at = np.concatenate([keys % np.uint64(bits), _mix(keys) % np.uint64(bits)])
+    return pa.RecordBatch.from_arrays(
+        [pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], names=["slot", "bit"]
+    )
+
+
+def frequent_filter(frequent: DataFrame, bits: int = FILTER_BITS) -> Filter:
+    """A filter of a table of words (``lang``, ``phrase``), built by an aggregation over its bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = []
-            for lang, phrase in zip(batch["lang"].to_pylist(), batch["phrase"].to_pylist()):
-                hashes.append([_word_hash(lang.encode(), w) for w in phrase.encode().split(b" ")])
-            if not hashes:
-                continue
-            each = np.array(hashes, np.uint64)
-            keys = each[:, 0] if each.shape[1] == 1 else _pair_hash(each[:, 0], each[:, 1])
-            at = np.concatenate([keys % np.uint64(bits), _mix(keys) % np.uint64(bits)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], names=["slot", "bit"]
-            )
-
-    slots = frequent.select("lang", "phrase").mapInArrow(run, "slot long, bit long").groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(bits // 64, np.uint64)
-    out[slots["slot"].to_numpy()] = slots["bits"].to_numpy().view(np.uint64)
-    return Filter(out)
+            hashes = [_word_hash(lang.encode(), word.encode()) for lang, word in zip(batch["lang"].to_pylist(), batch["phrase"].to_pylist())]
+            yield _filter_bits(np.array(hashes, np.uint64), bits)
+
+    return _collected(frequent.select("lang", "phrase").mapInArrow(run, "slot long, bit long"), bits)
 
 
 @dataclass
@@ -311,25 +315,32 @@ class Counter:
                     )
 
 
-def _sequences(words: Words, sizes: tuple[int, ...], keep: tuple[Filter, Filter | None] | None) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """Distinct sequences of each size, as columns of word numbers, and how often they stand in the block."""
+Filters = tuple[Filter | None, Filter | None, Filter | None]  # of words, pairs, longer phrases; None lets all through
+
+
+def _sequences(words: Words, sizes: tuple[int, ...], keep: Filters) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Distinct sequences of each size, as columns of word numbers; how often they stand in the block; and their hashes."""
     at, piece = words.at, words.piece
+    hashes = np.array([_word_hash(*name) for name in words.names], np.uint64) if keep[0] or sizes != (1,) else np.zeros(0, np.uint64)
     if sizes == (1,):
-        yield [np.arange(len(words.names))], np.bincount(at, minlength=len(words.names))
+        yield [np.arange(len(words.names))], np.bincount(at, minlength=len(words.names)), hashes
         return
-    hashes = np.array([_word_hash(*name) for name in words.names], np.uint64)
     known = keep[0].has(hashes)[at]
     good = (piece[1:] == piece[:-1]) & known[1:] & known[:-1]
     both = (at[:-1] << 32 | at[1:])[good]
     if sizes == (2,):
         pairs, counts = np.unique(both, return_counts=True)
-        yield [pairs >> 32, pairs & 0xFFFFFFFF], counts
-        return
-    pairs, pair = np.unique(both, return_inverse=True)
-    kept = keep[1].has(_pair_hash(hashes[pairs >> 32], hashes[pairs & 0xFFFFFFFF]))
+    else:
+        pairs, pair, counts = np.unique(both, return_inverse=True, return_counts=True)
+    pair_hashes = _pair_hash(hashes[pairs >> 32], hashes[pairs & 0xFFFFFFFF])
+    kept = np.ones(len(pairs), bool) if keep[1] is None else keep[1].has(pair_hashes)
+    if 2 in sizes:
+        yield [pairs[kept] >> 32, pairs[kept] & 0xFFFFFFFF], counts[kept], pair_hashes[kept]
+        if sizes == (2,):
+            return
     where = np.full(len(at), -1, np.int64)  # the frequent pair that begins at a place
     where[np.flatnonzero(good)] = np.where(kept[pair], pair, -1)
-    for size in sizes:
+    for size in (3, 4):
         # A piece holds the whole sequence if it holds all pairs of it, since each pair lies in one piece.
         ends = len(at) - size + 1
         if ends <= 0:
@@ -337,45 +348,129 @@ def _sequences(words: Words, sizes: tuple[int, ...], keep: tuple[Filter, Filter
         whole = np.logical_and.reduce([where[i : ends + i] >= 0 for i in range(size - 1)])
         first, last = where[:ends][whole], where[size - 2 : ends + size - 2][whole]
         both, counts = np.unique(first << 32 | last, return_counts=True)
-        a, b = pairs[both >> 32], pairs[both & 0xFFFFFFFF]
+        a, b = both >> 32, both & 0xFFFFFFFF
+        full = _mix(_pair_hash(pair_hashes[a], pair_hashes[b]) ^ np.uint64(size))
+        if keep[2] is not None:
+            through = keep[2].has(full)
+            a, b, counts, full = a[through], b[through], counts[through], full[through]
+        a, b = pairs[a], pairs[b]
         columns = [a >> 32, a & 0xFFFFFFFF, b & 0xFFFFFFFF]
         if size == 4:
             columns.insert(2, b >> 32)
-        yield columns, counts
+        yield columns, counts, full
+
+
+def _texts_in_blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[Words]:
+    for batch in batches:
+        group: list[bytes] = []
+        langs: list[bytes] = []
+        total = 0
+        for i in range(len(batch) + 1):
+            if group and (i == len(batch) or total > block):
+                yield from _blocks(group, langs, block)
+                group, langs, total = [], [], 0
+            if i < len(batch) and (text := batch["text"][i].as_py()):
+                group.append(text.encode())
+                langs.append(batch["lang"][i].as_py().encode())
+                total += len(group[-1])
+
+
+def _sent(texts: DataFrame, keep: Filters):
+    return texts.sparkSession.sparkContext.broadcast([f.bits if f else None for f in keep])
+
+
+def sieve(texts: DataFrame, sizes: tuple[int, ...], keep: Filters, least: int, block: int = BLOCK, held: int = HELD, bits: int = FILTER_BITS) -> Filter:
+    """A filter that lets through every phrase of ``sizes`` words with ``least`` occurrences, and few others.
+
+    Phrases are counted by slot. A task passes on its slots in buckets, as bytes; the task that holds a bucket adds them up in one array of
+    2**(SLOT_BITS - BUCKET_BITS) numbers, whatever the corpus.
+    """
+    sent = _sent(texts, keep)
+    low, kind = SLOT_BITS - BUCKET_BITS, np.uint16 if least < 1 << 16 else np.uint32
+
+    def passed(slots: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        # A slot needs no more than ``least``.
+        slots, at = np.unique(slots, return_inverse=True)
+        counts = np.minimum(np.bincount(at, counts, len(slots)), least).astype(kind)
+        bucket = (slots >> np.uint64(low)).astype(np.int64)
+        inner = (slots & np.uint64((1 << low) - 1)).astype(np.uint32)
+        cuts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+        ranges = list(zip(cuts, [*cuts[1:], len(slots)]))
+        columns = [pa.array(bucket[cuts], pa.int32()), *(pa.array([x[a:b].tobytes() for a, b in ranges], pa.binary()) for x in (inner, counts))]
+        return pa.RecordBatch.from_arrays(columns, names=["bucket", "slots", "counts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (Filter, SlotFilter, SlotFilter)
+        filters = tuple(kind(b) if b is not None else None for kind, b in zip(kinds, sent.value))
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        total = 0
+        for words in _texts_in_blocks(batches, block):
+            for _, counts, hashes in _sequences(words, sizes, filters):
+                parts.append((hashes >> np.uint64(64 - SLOT_BITS), counts))
+                total += len(counts)
+            if total >= held:
+                yield passed(*(np.concatenate(x) for x in zip(*parts)))
+                parts, total = [], 0
+        if total:
+            yield passed(*(np.concatenate(x) for x in zip(*parts)))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = -1, np.zeros(1 << low, np.int64)
+        touched: list[np.ndarray] = []
+        total = 0
+
+        def close() -> pa.RecordBatch:
+            # Few slots are looked up one by one, many by a pass over the array.
+            used = np.unique(np.concatenate(touched)) if 0 < total < len(sums) >> 3 else np.arange(len(sums))
+            slots = used[sums[used] >= least].astype(np.uint64) | np.uint64(now << low)
+            sums[used] = 0
+            return _filter_bits(_mix(slots), bits)
+
+        for batch in batches:
+            for i, bucket in enumerate(batch["bucket"].to_pylist()):
+                if bucket != now:
+                    if now >= 0:
+                        yield close()
+                    now, touched, total = bucket, [], 0
+                at = np.frombuffer(batch["slots"][i].as_buffer(), np.uint32)
+                sums[at] += np.frombuffer(batch["counts"][i].as_buffer(), kind)  # slots of one row are distinct
+                total += len(at)
+                if total < len(sums) >> 3:
+                    touched.append(at)
+        if now >= 0:
+            yield close()
+
+    slots = texts.mapInArrow(run, "bucket int, slots binary, counts binary").repartition("bucket").sortWithinPartitions("bucket")
+    return SlotFilter(_collected(slots.mapInArrow(merge, "slot long, bit long"), bits).bits)
+
+
+class SlotFilter(Filter):
+    """A filter of slots, asked for the hashes that fall into them."""
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        return super().has(_mix(hashes >> np.uint64(64 - SLOT_BITS)))
 
 
 def count_phrases(
-    texts: DataFrame, sizes: tuple[int, ...], keep: tuple[Filter, Filter | None] | None = None, budget: int = BUDGET, full: int = FULL, block: int = BLOCK,
+    texts: DataFrame, sizes: tuple[int, ...], keep: Filters = (None, None, None), budget: int = BUDGET, full: int = FULL, block: int = BLOCK,
 ) -> DataFrame:
-    """``lang``, ``phrase``, ``size`` and ``n`` of the phrases of ``sizes`` words in ``texts`` (``lang``, ``text``).
+    """``lang``, ``phrase``, ``size`` and ``n`` of the phrases of ``sizes`` words in ``texts`` (``lang``, ``text``) that pass the filters ``keep``.
 
-    ``sizes`` is (1,), (2,) or (3, 4); ``keep`` has the filters of frequent words and, for (3, 4), of frequent pairs. Runs are dealt by
-    language, first word and one of ``SLICES`` slices, and added up.
+    ``sizes`` is (1,) or (2, 3, 4). Runs are dealt by language, first word and one of ``SLICES`` slices, and added up.
     """
-    spark = texts.sparkSession
-    sent = spark.sparkContext.broadcast([f.bits if f else None for f in keep]) if keep else None
+    sent = _sent(texts, keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = tuple(Filter(b) if b is not None else None for b in sent.value) if sent else None
+        kinds = (Filter, SlotFilter, SlotFilter)
+        filters = tuple(kind(b) if b is not None else None for kind, b in zip(kinds, sent.value))
         counter = Counter(full, budget)
-        for batch in batches:
-            group: list[bytes] = []
-            langs: list[bytes] = []
-            total = 0
-            for i in range(len(batch) + 1):
-                if i == len(batch) or total > block:
-                    for words in _blocks(group, langs, block) if group else ():
-                        for columns, counts in _sequences(words, sizes, filters):
-                            used = np.unique(np.concatenate(columns)) if columns else np.zeros(0, np.int64)
-                            ids = np.zeros(len(words.names), np.int64)
-                            ids[used] = counter.ids_of([words.names[k] for k in used.tolist()])
-                            counter.add([ids[c] for c in columns], counts)
-                        yield from counter.spilled()
-                    group, langs, total = [], [], 0
-                if i < len(batch) and (text := batch["text"][i].as_py()):
-                    group.append(text.encode())
-                    langs.append(batch["lang"][i].as_py().encode())
-                    total += len(group[-1])
+        for words in _texts_in_blocks(batches, block):
+            for columns, counts, _ in _sequences(words, sizes, filters):
+                used = np.unique(np.concatenate(columns))
+                ids = np.zeros(len(words.names), np.int64)
+                ids[used] = counter.ids_of([words.names[k] for k in used.tolist()])
+                counter.add([ids[c] for c in columns], counts)
+            yield from counter.spilled()
         yield from counter.spilled(True)
 
     runs = texts.mapInArrow(run, "lang string, head string, phrase string, size int, n long")
@@ -386,7 +481,7 @@ def count_phrases(
 def frequent_phrases(docs: DataFrame, least: int = 30, budget: int = BUDGET, full: int = FULL, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Phrases of one to four words with ``least`` occurrences or more, and the number of words of each language (``lang``, ``total``)."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text")).where("text is not null")
-    one = count_phrases(texts, (1,), None, budget, full, block)
+    one = count_phrases(texts, (1,), budget=budget, full=full, block=block)
     # Totals ride along as phrases of no words, so that the words are counted once.
     # (A word is never empty.)
     both = one.groupBy("lang", F.when(F.col("n") >= least, F.col("phrase")).otherwise("").alias("phrase")).agg(F.sum("n").alias("n"))
@@ -394,9 +489,10 @@ def frequent_phrases(docs: DataFrame, least: int = 30, budget: int = BUDGET, ful
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     words = words.where("phrase <> ''").select("lang", "phrase", F.lit(1).alias("size"), "n")
     known = frequent_filter(words)
-    pairs = materialise(count_phrases(texts, (2,), (known, None), budget, full, block).where(F.col("n") >= least), "frequent-pairs")
-    longer = count_phrases(texts, (3, 4), (known, frequent_filter(pairs)), budget, full, block).where(F.col("n") >= least)
-    return words.unionByName(pairs).unionByName(materialise(longer, "frequent-phrases")), totals
+    pairs = sieve(texts, (2,), (known, None, None), least, block)
+    longer = sieve(texts, (3, 4), (known, pairs, None), least, block)
+    phrases = count_phrases(texts, (2, 3, 4), (known, pairs, longer), budget, full, block).where(F.col("n") >= least)
+    return words.unionByName(materialise(phrases, "frequent-phrases")), totals
 
 
 def _part(phrase: str, start: str, words: str) -> str:
