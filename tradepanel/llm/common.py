@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import ctypes
+import gc
 import sys
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
@@ -18,13 +20,30 @@ _KEPT = "_llm_values_kept_by_this_worker"
 
 
 def kept(key: Any, build: Callable[[], Any]) -> Any:
-    """A value that a worker process builds once and keeps for its later tasks (eight at most)."""
+    """A value that a worker process builds once and keeps for its later tasks.
+
+    Eight at most, and those of one module only: what another operator left in the worker goes before this one builds its own.
+    """
     values = sys.modules.setdefault(_KEPT, type(sys)(_KEPT)).__dict__.setdefault("values", {})
     if key not in values:
+        for old in [k for k, (owner, _) in values.items() if owner != build.__module__]:
+            del values[old]
         while len(values) >= 8:
             values.pop(next(iter(values)))
-        values[key] = build()
-    return values[key]
+        release()
+        values[key] = build.__module__, build()
+        release()
+    return values[key][1]
+
+
+def release() -> None:
+    """Give memory that the process no longer uses back to the system, where the C library can do that."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 def read_file(path: str) -> bytes:

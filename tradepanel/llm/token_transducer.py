@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradepanel.llm.common import kept, map_batches, utf8_size
+from tradepanel.llm.common import kept, map_batches, release, slices, utf8_size
 from tradepanel.llm.pieces import Splitter, budget_slices
 
 CHUNK = 1 << 16  # characters
@@ -335,8 +335,10 @@ def count_tokens(
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         counter = kept(("counter", mark, pattern, chunk), lambda: Counter(sent.value, pattern, chunk))
-        found = counter.count_texts([x or "" for x in batch["text"].to_pylist()])
-        yield {"doc_id": batch["doc_id"], "n_bytes": batch["n_bytes"], "n_tokens": found}
+        for part in slices(batch, "text"):
+            found = counter.count_texts([x or "" for x in part["text"].to_pylist()])
+            yield {"doc_id": part["doc_id"], "n_bytes": part["n_bytes"], "n_tokens": found}
+        release()
 
     body = docs[text].cast("string")
     chosen = docs.select(docs[key].cast("long").alias("doc_id"), utf8_size(body).alias("n_bytes"), body.alias("text"))
