@@ -10,7 +10,7 @@ from tradepanel.catalog.features import FEATURES, KEY, LABEL, written_model_rows
 from tradepanel.catalog.registry import query
 from tradepanel.functions import fixed_values as fixed
 from tradepanel.functions.scalars import log_floor
-from tradepanel.operators import joins, models, validation
+from tradepanel.operators import boosting, forests, joins, models, validation
 from tradepanel.plans import modelling
 from tradepanel.session import fresh_path, materialise
 from tradepanel.sources.stores import load_model, save_model
@@ -334,13 +334,55 @@ def search_all_features(spark, folder):
 
 @query("grid_search")
 def grid_search(spark, folder):
-    """Forest and boosted-tree search over the full grids on all expanding folds, best first."""
+    """Forest and boosted-tree search over the full grids on all expanding folds, best first.
+
+    Forests are scored at every size and depth of one fit, boosted trees after every stage of one model; all models of the boosted grid
+    grow in the same jobs.
+    """
     folded = _panel_folds(spark, folder)
-    found = [
-        validation.search(folded, FEATURES, LABEL, kind, validation.grid(**axes), range(1, 6)).withColumn("model", F.lit(kind))
-        for kind, axes in (("forest", fixed.FOREST_GRID), ("boost", fixed.BOOST_GRID))
-    ]
-    return found[0].unionByName(found[1]).orderBy(F.col("r2").desc(), "model", "candidate")
+    found = forests.search(folded, FEATURES, LABEL, validation.grid(**fixed.FOREST_GRID), range(1, 6)).withColumn("model", F.lit("forest"))
+    boosted = boosting.search(folded, FEATURES, LABEL, validation.grid(**fixed.BOOST_GRID), range(1, 6), F.xxhash64(*KEY))
+    return found.unionByName(boosted.withColumn("model", F.lit("boost"))).orderBy(F.col("r2").desc(), "model", "candidate")
+
+
+_SPLIT = {"large": "l_quantity > 30", "returned": "l_returnflag = 'R'", "rebated": "l_discount > 0.05"}
+_SPLIT_L1, _SPLIT_L2, _SPLIT_RATE = 50.0, 300.0, 0.05
+
+
+@query(
+    "boost_split",
+    "WITH y AS (SELECT *, ln(greatest(l_extendedprice, 1.0)) AS y FROM lineitem), b AS (SELECT *, y - avg(y) OVER () AS g FROM y), s AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, sum(CASE WHEN {x} THEN 0 ELSE g END) AS gl, count(*) FILTER (WHERE NOT ({x})) AS nl, "
+        f"sum(CASE WHEN {x} THEN g ELSE 0 END) AS gr, count(*) FILTER (WHERE {x}) AS nr FROM b"
+        for f, x in _SPLIT.items()
+    )
+    + f"""), v AS (SELECT feature, {_SPLIT_RATE} * sign(gl) * greatest(abs(gl) - {_SPLIT_L1}, 0) / (nl + {_SPLIT_L2}) AS low,
+                   {_SPLIT_RATE} * sign(gr) * greatest(abs(gr) - {_SPLIT_L1}, 0) / (nr + {_SPLIT_L2}) AS high,
+                   greatest(abs(gl) - {_SPLIT_L1}, 0) ** 2 / (nl + {_SPLIT_L2}) + greatest(abs(gr) - {_SPLIT_L1}, 0) ** 2 / (nr + {_SPLIT_L2}) AS gain FROM s)
+        SELECT feature, round(low, 6) AS low, round(high, 6) AS high, round(gain, 4) AS gain FROM v ORDER BY v.gain DESC LIMIT 1""",
+)
+def boost_split(spark, folder):
+    """The one split of a regularised stump on features that are 0 or 1, with its shrunken leaf values."""
+    rows = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", log_floor("l_extendedprice").alias("y"), *[F.expr(x).cast("double").alias(f) for f, x in _SPLIT.items()]
+    )
+    setting = boosting.Setting(trees=1, depth=1, rate=_SPLIT_RATE, l1=_SPLIT_L1, l2=_SPLIT_L2)
+    model = boosting.fit(rows, list(_SPLIT), "y", setting, F.xxhash64("l_orderkey", "l_linenumber"))
+    (feature, gain), tree = next(iter(model.gains.items())), model.trees[0]
+    row = (feature, float(tree.value[1]), float(tree.value[2]), gain)
+    out = spark.createDataFrame([row], "feature string, low double, high double, gain double")
+    return out.select("feature", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"), F.round("gain", 4).alias("gain"))
+
+
+@query("regularised_boost")
+def regularised_boost(spark, folder):
+    """Gain by feature of boosted trees with L1 and L2 penalties and with rows and features drawn for each tree, at full size."""
+    rows = written_model_rows(spark, folder)
+    setting = boosting.Setting(l1=1.0, l2=2.0, columns=0.8, **fixed.BOOST_DEFAULT)
+    model = boosting.fit(rows, FEATURES, LABEL, setting, F.xxhash64(*KEY))
+    found = [(f, model.gains.get(f, 0.0)) for f in FEATURES]
+    return spark.createDataFrame(found, "feature string, gain double").orderBy(F.col("gain").desc(), "feature")
 
 
 @query("model_compare")
