@@ -202,3 +202,17 @@ def union_missing_columns(spark, folder):
         F.col("c_nationkey").alias("nation"), F.col("c_name").alias("name"),
     )
     return aggregates.union_by_name(suppliers, customers)
+
+
+@query(
+    "sum_any_scale",
+    """SELECT l_returnflag, round(fsum(l_discount / (l_orderkey + 1) / 1000), 12) AS small, round(fsum(l_tax * l_extendedprice / 7), 4) AS large
+       FROM lineitem GROUP BY 1""",
+)
+def sum_any_scale(spark, folder):
+    """Sums of terms without a stated number of decimals."""
+    rows = table(spark, folder, "lineitem").select(
+        "l_returnflag", (F.col("l_discount") / (F.col("l_orderkey") + 1) / 1000).alias("small"), (F.col("l_tax") * F.col("l_extendedprice") / 7).alias("large")
+    )
+    sums = aggregates.group_sums(rows, ["l_returnflag"], ["small", "large"], digits=None)
+    return sums.select("l_returnflag", F.round("small", 12).alias("small"), F.round("large", 4).alias("large"))

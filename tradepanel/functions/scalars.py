@@ -12,15 +12,43 @@ def col(c: Column | str) -> Column:
 _LOW = 1048576.0  # 2 ** 20
 
 
-def exact_sum(c: Column | str, digits: int = 4) -> Column:
+# Windows of 24 bits, by the unit of each; a term below _MOST is cut into one whole number for each window.
+_WINDOWS = [2.0**24, 1.0, 2.0**-24, 2.0**-48, 2.0**-72]
+_MOST = 2.0**53
+
+
+def _window_sum(value: Column) -> Column:
+    """Exact sum of doubles of any scale: adding and taking away 1.5 * 2**52 units leaves the part of a term that is whole in them.
+
+    The parts are summed as longs, which 2**34 rows of the largest terms cannot overflow. Terms from 2**53, NaN, infinities, and what lies below
+    the last window, which only terms under 5e-7 have, are summed as plain doubles.
+    """
+    plain = F.isnan(value) | (F.abs(value) >= F.lit(_MOST))
+    rest = F.when(plain, F.lit(0.0)).otherwise(value)
+    sums = []
+    for unit in _WINDOWS:
+        magic = F.lit(1.5 * 2.0**52 * unit)
+        part = (rest + magic) - magic
+        sums.append(F.sum((part / F.lit(unit)).cast("bigint")).cast("double") * F.lit(unit))
+        rest = rest - part
+    total = F.sum(F.when(plain, value).otherwise(rest))
+    for part in reversed(sums):
+        total = part + total
+    return total
+
+
+def exact_sum(c: Column | str, digits: int | None = 4) -> Column:
     """Sum that does not depend on the order of its terms, as a double.
 
-    Each term is rounded to ``digits`` decimals, taken as a whole number of such units and split
+    ``digits`` is the number of decimals that the terms are known to have; None takes terms of any scale as they are. Otherwise
+    each term is rounded to ``digits`` decimals, taken as a whole number of such units and split
     at 2**20 into two longs. Long sums are exact and stay in generated code, which makes this several
     times cheaper than a decimal sum; the split keeps totals far beyond one long safe. NaN,
     infinities and terms beyond 2**60 units are added as plain doubles.
     """
     value = col(c).cast("double")
+    if digits is None:
+        return _window_sum(value)
     scaled = value * F.lit(10.0**digits)
     plain = F.isnan(value) | (F.abs(scaled) > F.lit(2.0**60))
     units = F.when(plain, F.lit(0.0)).otherwise(F.rint(scaled))
@@ -30,7 +58,7 @@ def exact_sum(c: Column | str, digits: int = 4) -> Column:
     return total / F.lit(10.0**digits) + F.coalesce(F.sum(F.when(plain, value)), F.lit(0.0))
 
 
-def mean_of(c: Column | str, digits: int = 9) -> Column:
+def mean_of(c: Column | str, digits: int | None = 9) -> Column:
     """Exact sum over the non-null count; a group without values gives null."""
     return F.try_divide(exact_sum(c, digits), F.count(col(c)))
 

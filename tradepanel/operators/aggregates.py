@@ -11,15 +11,15 @@ from tradepanel.functions.scalars import col, exact_sum
 from tradepanel.operators.ordering import INDEX, group_median, shift_rows, with_row_index
 
 
-def group_sums(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Sums per group; rows with a null key are left out."""
+def group_sums(df: DataFrame, keys: Sequence[str], measures: Sequence[str], digits: int | None = 4) -> DataFrame:
+    """Sums per group; rows with a null key are left out. ``digits`` None sums terms of any scale."""
     return (
-        df.dropna(subset=list(keys)).groupBy(*keys).agg(*[exact_sum(m).alias(m) for m in measures])
+        df.dropna(subset=list(keys)).groupBy(*keys).agg(*[exact_sum(m, digits).alias(m) for m in measures])
     )
 
 
 def with_subtotals(
-    df: DataFrame, keys: Sequence[str], labels: dict[str, object], measures: Sequence[str], digits: int = 4
+    df: DataFrame, keys: Sequence[str], labels: dict[str, object], measures: Sequence[str], digits: int | None = 4
 ) -> DataFrame:
     """Detail sums plus one subtotal row per ``keys``, in one pass.
 
@@ -36,10 +36,10 @@ def with_subtotals(
     return out.withColumns(relabelled).select(*detail, *measures)
 
 
-def share_of_total(df: DataFrame, chosen: Column, value) -> DataFrame:
+def share_of_total(df: DataFrame, chosen: Column, value, digits: int | None = 4) -> DataFrame:
     """Percentage of the total that falls on the chosen rows."""
-    part = exact_sum(F.when(chosen, col(value)))
-    whole = exact_sum(value)
+    part = exact_sum(F.when(chosen, col(value)), digits)
+    whole = exact_sum(value, digits)
     return df.agg(
         F.coalesce(part, F.lit(0.0)).alias("chosen_total"),
         whole.alias("all_total"),

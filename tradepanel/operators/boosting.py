@@ -11,17 +11,22 @@ between two writings it is computed from the trees grown since.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradepanel.session import materialise
 
+# The functions and trees travel with the tasks, so no executor needs a copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BINS = 32
 WRITTEN_EVERY = 2  # trees between two writings of the scores
 ROWS_AT_ONCE = 8192
@@ -198,10 +203,8 @@ class Ensemble:
 
     def _run(self, work, schema: str, since) -> DataFrame:
         width, models, bases, settings = len(self.features), len(self.models), self.bases, self.settings
-        sent = self.rows.sparkSession.sparkContext.broadcast((width, models, bases, settings, since))
 
         def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            width, models, bases, settings, since = sent.value
             yield from work((_Rows(b, width, models, bases, since) for b in _batches(source)), settings)
 
         return self.rows.mapInArrow(run, schema)
@@ -347,11 +350,10 @@ def fit(df: DataFrame, features: Sequence[str], label: str, setting: Setting, ke
 
 def predict(model: Boosted, df: DataFrame, out: str = "prediction") -> DataFrame:
     """``df`` with the model's score; a row with a missing feature has none."""
-    sent = df.sparkSession.sparkContext.broadcast((model.features, model.edges, model.base, model.trees))
+    features, edges, base, trees = model.features, model.edges, model.base, model.trees
     schema = df.drop(out).schema.add(out, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, edges, base, trees = sent.value
         for batch in batches:
             values = [batch[f"_x{k}"].to_numpy(zero_copy_only=False) for k in range(len(features))]
             missing = np.logical_or.reduce([np.isnan(v) for v in values], axis=0) if values else np.zeros(len(batch), bool)

@@ -7,10 +7,12 @@ its stages in one pass over the test rows, which ends in five sums a stage.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,8 @@ from tradepanel.operators import models
 from tradepanel.operators.boosting import SUMS, r2
 from tradepanel.session import fresh_path
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def tree_arrays(spark: SparkSession, model: PipelineModel) -> list[tuple[np.ndarray, ...]]:
     """Each tree as (feature or -1, threshold, left, right, value) by node, read from the saved model."""
