@@ -346,7 +346,7 @@ def grid_search(spark, folder):
 
 
 _SPLIT = {"large": "l_quantity > 30", "returned": "l_returnflag = 'R'", "rebated": "l_discount > 0.05"}
-_SPLIT_L1, _SPLIT_L2, _SPLIT_RATE = 50.0, 300.0, 0.05
+_SPLIT_L1, _SPLIT_L2, _SPLIT_RATE = 1.0, 2.0, 0.05
 
 
 @query(
