@@ -366,10 +366,12 @@ def test_pages_table(spark, folder):
     assert html_density.extract(odd.limit(0)).count() == 0
 
 
-def test_marginals_as_brute_force():
+@pytest.mark.parametrize("block", [1, 2, 3, 512])
+def test_marginals_as_brute_force(block):
     rng = np.random.default_rng(2)
-    emission, moves, begins = rng.normal(size=9), rng.normal(size=(2, 2)), np.array([0, 4, 5, 9])
-    good, pairs = line_crf.marginals(emission, begins, moves)
+    emission, moves, begins = rng.normal(size=17), rng.normal(size=(2, 2)), np.array([0, 4, 5, 9, 17])
+    good, pairs = line_crf.label_pairs(emission, begins, moves, block)
+    assert np.array_equal(good, line_crf.marginals(emission, begins, moves, block))
     want_pairs = np.zeros((2, 2))
     for a, b in zip(begins, begins[1:]):
         total, hits, mine = 0.0, np.zeros(b - a), np.zeros((2, 2))
@@ -384,6 +386,57 @@ def test_marginals_as_brute_force():
     assert np.allclose(pairs, want_pairs)
 
 
+def test_emissions_from_own_features_as_from_all():
+    rng = np.random.default_rng(3)
+    own, begins = rng.normal(size=(12, line_crf.N_OWN)).astype(np.float32), np.array([0, 1, 5, 12])
+    size = 3 * line_crf.N_OWN + 2
+    model = line_crf.Model(rng.normal(size=size), rng.uniform(0.5, 2, size), rng.normal(size=size), 0.3, np.zeros((2, 2)))
+    want = ((line_crf.line_features(own, begins) - model.mean) / model.scale) @ model.weights + model.bias
+    assert np.allclose(model.emissions(own, begins), want, atol=1e-5)
+
+
+def test_many_short_lines_take_few_steps():
+    """A text of half a million lines is one chain; it is gone through in blocks."""
+    import time
+
+    size = 3 * line_crf.N_OWN + 2
+    model = line_crf.Model(np.zeros(size), np.ones(size), np.full(size, 0.01), 0.1, np.array([[0.5, -0.5], [-0.5, 0.5]]))
+    text, tables = b"a b\n" * 500_000, bytescan._tables(True)
+    start = time.monotonic()
+    own, length, begins = line_crf.own_features([text], tables)
+    odds = line_crf.document_odds(model, own, length, begins)
+    assert len(own) == 500_001 and np.isfinite(odds).all() and time.monotonic() - start < 20
+
+
+def test_executors_need_no_copy_of_the_package(folder, tmp_path):
+    """The queries run where only the driver knows the package: workers start in another folder, without its path."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = tmp_path / "run.py"
+    script.write_text(
+        "import sys\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[4]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '4').getOrCreate()\n"
+        f"sys.path.append({root!r})\n"
+        "from tradepanel.llm import entries\n"
+        "for name in ('op9_line_crf', 'op8_html_density', 'op13_url_filter', 'op12_spelling_variants', 'op11_collocations'):\n"
+        f"    assert entries.RUNNERS[name](spark, {folder!r}).count() >= 0\n"
+        "try:\n"
+        "    spark.range(1).mapInArrow(lambda b: [__import__('tradepanel')] and b, 'id long').count()\n"
+        "except Exception as e:\n"
+        "    assert 'ModuleNotFoundError' in str(e)\n"
+        "else:\n"
+        "    raise SystemExit('workers know the package, so this shows nothing')\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    env["PYTHONPATH"] = os.pathsep.join(p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p and not os.path.samefile(p, root))
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-3000:]
+
+
 def test_classifier_on_held_out_rows(spark, folder, odd, empty):
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     got = line_crf.classify(docs, labels).join(labels, "doc_id").collect()
