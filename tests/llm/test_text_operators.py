@@ -366,6 +366,48 @@ def test_pages_table(spark, folder):
     assert html_density.extract(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "attribute",
+    ['class="overflow-hidden"', 'style="overflow:hidden"', 'style="visibility:hidden"', 'class="md:hidden"', 'id="hidden-gems"',
+     'data-title="the hidden side"', 'title="nav menu"'],
+)
+@pytest.mark.parametrize("element", ["{}", "<article>{}</article>"])
+def test_everyday_attributes_cut_nothing(attribute, element):
+    inside = element.format("".join(f"<p>{_LINE * 4}</p>" for _ in range(5)))
+    page = f"<body><nav><a href=x>Home</a></nav><div {attribute}>{inside}</div><footer>Imprint</footer></body>"
+    assert html_density.main_text(page) == " ".join([(_LINE * 4).strip()] * 5)
+
+
+@pytest.mark.parametrize("attribute", ["hidden", 'hidden=""', "aria-hidden='true'", 'style="color:red; display : none"'])
+def test_hidden_parts_go_but_not_the_article(attribute):
+    article = f"<article><p>{_LINE * 9}</p><div {attribute}><p>Unseen words, {_LINE}</p></div></article>"
+    assert html_density.main_text(f"<div {attribute}>{article}</div>") == (_LINE * 9).strip()
+
+
+def test_inline_asides_end_with_their_tag():
+    rest = f"Hello {_LINE * 3}"
+    for aside in ("<span class='ad'>Buy</span>", "<span class='ad'><span>Buy</span> now</span>", "<a class='share' href='x'>Share</a>"):
+        assert html_density.main_text(f"<article><p>{aside} {rest}</p><p>{_LINE * 5}</p></article>") == f"{rest.strip()} {(_LINE * 5).strip()}"
+
+
+def test_blocks_in_links_are_link_text():
+    cards = "".join(f"<a href='/{i}'><div><h3>Other tale {i}</h3><p>{_LINE}</p></div></a>" for i in range(3))
+    body = html_density.parse(f"{cards}<p>free words</p><p><a name=top>an anchor<p>more")
+    html_density.measure(body)
+    assert body.link_chars == sum(len(f"Other tale {i}") + len(_LINE.strip()) for i in range(3))
+    text = "".join(f"<p>{_LINE * 4}</p>" for _ in range(5))
+    assert html_density.main_text(f"<div>{text}</div><div>{cards}</div>") == " ".join([(_LINE * 4).strip()] * 5)
+
+
+@pytest.mark.parametrize("start", ["<div>" * 40_000, "<p><table>" + "<div>" * 40_000, "<ul>" + "<li><div>" * 20_000, "<p>" + "<table><tr><td>" * 13_000])
+def test_deep_pages_take_linear_time(start):
+    import time
+
+    begin = time.monotonic()
+    assert html_density.main_text(start + _LINE) == _LINE.strip()
+    assert time.monotonic() - begin < 20
+
+
 @pytest.mark.parametrize("block", [1, 2, 3, 512])
 def test_marginals_as_brute_force(block):
     rng = np.random.default_rng(2)

@@ -2,7 +2,7 @@
 
 A page becomes a tree of its block elements. Menus, headers, footers, sidebars, adverts, notices, forms,
 comments of readers, scripts and styles are no part of the article and are cut first. Where only names
-(class, id, role) or a form say so, an element is spared that holds an article or main element or, on a
+(class, id, role) or a form say so, or an attribute hides it, an element is spared that holds an article or main element or, on a
 page without these, more than half of the text outside links. Each remaining
 node has a density: characters per tag, adjusted by how much of its text lies in links. The density sum of a
 node adds the densities of its children. The node with the largest sum holds the text's densest
@@ -16,7 +16,8 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,19 +52,22 @@ ASIDE_WORDS = frozenset(
 )
 #: Words that make a name tell of the layout, as in "with-sidebar".
 LAYOUT_WORDS = frozenset("with without no not non has have is hide show".split())
-#: How an element is cut: by its kind or by being hidden, or unless it holds the article.
-CERTAIN, NAMED = 2, 1
+#: How an element is cut: by its kind; by an attribute that hides it, unless it holds an article or main element; by its name, unless it holds the article.
+CERTAIN, HIDDEN, NAMED = 3, 2, 1
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?(?:until|false))|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _WORDS = re.compile(r"[A-Za-z]+")
+_HEADING = frozenset(f"h{i}" for i in range(1, 7))
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "aside", "chars", "link_chars", "tags", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "children", "aside", "chars", "link_chars", "tags", "link_tags", "density", "total", "linked", "inner")
 
     def __init__(self, name: str, parent: Node | None, aside: int):
         self.name, self.parent, self.aside = name, parent, aside
+        self.linked = False  # whether it stands in a link
+        self.inner = 0  # open inline elements of its own name in it
         self.children: list[Node | str] = []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
@@ -76,15 +80,21 @@ def marks_aside(name: str) -> bool:
 
 
 def is_aside(name: str, attributes: str, inside_article: bool) -> int:
-    """0, ``NAMED`` or ``CERTAIN``."""
+    """0, ``NAMED``, ``HIDDEN`` or ``CERTAIN``."""
     if name in ASIDE and name != "form" or name == "header" and not inside_article:
         return CERTAIN
+    found = 0
     if attributes and name not in ("html", "body", "article", "main"):
-        if _HIDDEN.search(attributes):
-            return CERTAIN
         for m in _ATTRIBUTE.finditer(attributes):
-            if any(map(marks_aside, (m[2] or m[3] or m[4] or "").split())):
-                return NAMED
+            key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+            if key == "hidden" and value.lower() not in ("until-found", "false") or key == "aria-hidden" and value.lower() == "true":
+                return HIDDEN
+            if key == "style" and _NOT_SHOWN.search(value):
+                return HIDDEN
+            if key in ("class", "id", "role") and any(map(marks_aside, value.split())):
+                found = NAMED
+    if found:
+        return found
     return NAMED if name == "form" else 0
 
 
@@ -107,26 +117,60 @@ def _tag_end(page: str, at: int) -> int:
     return end
 
 
-def parse(page: str) -> Node:
-    """Tree of block elements; inline elements melt into the text of their block, which counts their links."""
-    root = Node("html", None, False)
-    body = Node("body", root, False)
-    root.children.append(body)
-    now, links, articles, at, n = body, 0, 0, 0, len(page)
+class Tree:
+    """A tree under construction. For each name, the depths of its open elements are at hand, so no step walks up the tree."""
+
+    def __init__(self):
+        root = Node("html", None, 0)
+        self.body = Node("body", root, 0)
+        root.children.append(self.body)
+        self.path, self.depths, self.linked = [self.body], {}, False
 
-    def add(text: str) -> None:
+    def add(self, text: str) -> None:
         if text:
+            now = self.path[-1]
             now.children.append(text)
-            if links and text.strip():
+            if self.linked and not text.isspace():
                 now.link_chars += len(" ".join(text.split()))
 
+    def open(self, node: Node) -> None:
+        self.path[-1].children.append(node)
+        node.linked = self.linked
+        self.depths.setdefault(node.name, []).append(len(self.path))
+        self.path.append(node)
+
+    def close(self, depth: int) -> None:
+        """End the element at this depth and all in it; links that began in it end with it."""
+        self.linked = self.linked and self.path[depth].linked
+        for node in self.path[depth:]:
+            self.depths[node.name].pop()
+        del self.path[depth:]
+
+    def deepest(self, names: Iterable[str]) -> int:
+        """Depth of the innermost open element of these names, or 0."""
+        return max((d[-1] for x in names if (d := self.depths.get(x))), default=0)
+
+    def end_those(self, names: Iterable[str], barrier: Iterable[str]) -> None:
+        """End the outermost open element of these names that no open barrier holds apart from here."""
+        above = self.deepest(barrier)
+        first = [d[i] for x in names if (d := self.depths.get(x)) and (i := bisect_right(d, above)) < len(d)]
+        if first:
+            self.close(min(first))
+
+
+def parse(page: str) -> Node:
+    """Tree of block elements in time linear in the page; inline elements melt into the text of their block, which counts its links.
+
+    Text counts as linked up to the end of its link, also in blocks inside the link.
+    """
+    tree, at, n = Tree(), 0, len(page)
     while at < n:
         left = page.find("<", at)
         if left < 0:
-            add(html.unescape(page[at:]))
+            tree.add(html.unescape(page[at:]))
             break
         if left > at:
-            add(html.unescape(page[at:left]))
+            tree.add(html.unescape(page[at:left]))
         if page.startswith("<!--", left):
             end = page.find("-->", left + 4)
             at = n if end < 0 else end + 3
@@ -141,60 +185,68 @@ def parse(page: str) -> Node:
             if closing and (end := page.find(">", left)) >= 0:
                 at = end + 1
             else:
-                add("<")
+                tree.add("<")
                 at = left + 1
             continue
         end = _tag_end(page, m.end())
         if end < 0:
             break  # a tag that never ends
         name, attributes, at = m[0].lower(), page[m.end() : end], end + 1
-        if name in INLINE and (closing or not is_aside(name, attributes, True)):
-            if name == "a":
-                links = max(0, links - 1) if closing else links + 1
-                if not closing:
-                    now.link_tags += 1
-            continue
-        if name in ("html", "body", "head") and name != "head":
-            continue
         if closing:
-            if name == "p" and not _open(now, "p", ()):
-                continue
-            found = now
-            while found is not body and found.name != name:
-                found = found.parent
-            if found is not body:
-                now, links = found.parent, 0
-            continue
-        if name == "br":
-            now.children.append(" ")
-            continue
-        if name in VOID:
-            now.children.append(" ")
-            continue
-        if name in CLOSES_P and (p := _open(now, "p", ("button", "table"))):
-            now, links = p.parent, 0
+            _end_tag(tree, name)
+        elif name in VOID:
+            tree.path[-1].children.append(" ")
+        elif name not in ("html", "body"):
+            at = _start_tag(tree, name, attributes, page, at)
+    spare(tree.body)
+    return tree.body
+
+
+def _end_tag(tree: Tree, name: str) -> None:
+    depth = tree.deepest((name,))
+    if name in INLINE:
+        if depth and tree.path[depth].inner:
+            tree.path[depth].inner -= 1
+        elif depth:
+            tree.close(depth)
+        if name == "a":
+            tree.linked = False
+    elif depth:
+        tree.close(depth)
+
+
+def _start_tag(tree: Tree, name: str, attributes: str, page: str, at: int) -> int:
+    """Put an element into the tree; returns where the page goes on."""
+    link = name == "a" and "href" in attributes.lower()
+    if name == "a":
+        tree.linked = False  # a link ends where the next one begins
+    if name in INLINE:
+        aside = is_aside(name, attributes, True)
+        if not aside:
+            if depth := tree.deepest((name,)):
+                tree.path[depth].inner += 1
+            if link:
+                tree.linked = True
+                tree.path[-1].link_tags += 1
+            return at
+    else:
+        if name in CLOSES_P:
+            tree.end_those(("p",), ("button", "table"))
         if name in ENDS:
-            ended, barrier = ENDS[name]
-            found, last = now, None
-            while found is not body and found.name not in barrier:
-                if found.name in ended:
-                    last = found
-                found = found.parent
-            if last is not None:
-                now, links = last.parent, 0
-        if re.fullmatch(r"h[1-6]", name) and re.fullmatch(r"h[1-6]", now.name):
-            now, links = now.parent, 0
-        inside = name == "header" and _open(now, "article", ()) is not None
-        new = Node(name, now, is_aside(name, attributes, inside))
-        now.children.append(new)
-        if name in RAW:
-            close = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
-            at = close.end() if close else n
-            continue
-        if not attributes.endswith("/") or name not in ("svg", "path"):
-            now, links = new, 0
-    spare(body)
-    return body
+            tree.end_those(*ENDS[name])
+        if name in _HEADING and tree.path[-1].name in _HEADING:
+            tree.close(len(tree.path) - 1)
+        aside = is_aside(name, attributes, name == "header" and tree.deepest(("article",)) > 0)
+    new = Node(name, tree.path[-1], aside)
+    if name in RAW:
+        tree.path[-1].children.append(new)
+        close = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
+        return close.end() if close else len(page)
+    tree.open(new)
+    if name in ("svg", "path") and attributes.endswith("/"):
+        tree.close(len(tree.path) - 1)
+    tree.linked = tree.linked or link
+    return at
 
 
 def spare(body: Node) -> None:
@@ -212,18 +264,10 @@ def spare(body: Node) -> None:
         words[id(node)] = own + sum(words[id(c)] for c in inner)
         holds[id(node)] = any(c.name in ("article", "main") or holds[id(c)] for c in inner)
     for node in seen:
-        if node.aside and (holds[id(node)] or not holds[id(body)] and words[id(node)] * 2 > words[id(body)]):
+        if node.aside and (holds[id(node)] or node.aside == NAMED and not holds[id(body)] and words[id(node)] * 2 > words[id(body)]):
             node.aside = 0
 
 
-def _open(node: Node | None, name: str, barrier: tuple) -> Node | None:
-    while node is not None and node.name not in barrier:
-        if node.name == name:
-            return node
-        node = node.parent
-    return None
-
-
 def _below(node: Node) -> list[Node]:
     return [c for c in node.children if isinstance(c, Node) and not c.aside]
 
