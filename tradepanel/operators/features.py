@@ -22,7 +22,7 @@ def one_hot(df: DataFrame, column: str, prefix: str | None = None, most: int = 1
     """Flags for all sorted levels but the first. Only the level names reach the driver."""
     levels = [r[0] for r in df.select(column).dropna().distinct().orderBy(column).limit(most + 1).collect()]
     if len(levels) > most:
-        raise ValueError(f"{column} has more than {most} levels; it is a key, not a category")
+        raise ValueError(f"{column} has more than {most} levels; take categories.absorbed_fit or sparse_products, which make no columns")
     return level_flags(df, column, levels[1:], prefix or column)
 
 
