@@ -15,7 +15,8 @@ How the search is spread over tasks:
    tentative clusters: groups of near copies, in which nearly all pairs would be candidates.
 4. Inside a cluster the full T-occurrence search runs on blocks of bounded size and yields only links that
    connect something new. Pairs of members of different clusters are counted over all lists
-   and verified exactly where their count can still reach T. So every pair that shares a prefix
+   and, where their count can still reach T, compared by short bit sets that bound the overlap from above; what
+   these leave is verified exactly. So every pair that shares a prefix
    shingle is decided, and no list or cluster is expanded into its pairs.
 """
 
@@ -308,9 +309,10 @@ def full_sets(rows: DataFrame, one: DataFrame, size: int) -> DataFrame:
         for part, sets, digests in _sets(batch, size):
             right = np.flatnonzero(_ids(digests) == np.asarray(part["set_id"]))  # a repeated id can have other sets too
             if len(right):
-                yield {c: part[c].take(pa.array(right)) for c in names} | {"shingles": [sets[k].tobytes() for k in right]}
+                own = [sets[k] for k in right]
+                yield {c: part[c].take(pa.array(right)) for c in names} | {"parity": [parity(s) for s in own], "shingles": [s.tobytes() for s in own]}
 
-    schema = _struct(set_id=LONG, n=LONG, cluster=LONG, blocks=T.IntegerType(), copies=LONG, shingles=BIN)
+    schema = _struct(set_id=LONG, n=LONG, cluster=LONG, blocks=T.IntegerType(), copies=LONG, parity=BIN, shingles=BIN)
     found = materialise(map_batches(rows.join(one, "key").select(*names, "text"), run, schema), "sets")
     # Only rows that are repeated under one key come more than once.
     return found.where("copies = 1").union(found.where("copies > 1").dropDuplicates(["set_id"]))
@@ -352,6 +354,37 @@ def cluster_links(sets: DataFrame, p: int, q: int) -> DataFrame:
     return own.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(run, schema)
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """Whether an odd number of shingles fall into each of at least four slots a shingle, a power of two of them, as bits."""
+    slots = max(64, 1 << (4 * len(shingles) - 1).bit_length())
+    counts = np.bincount((shingles & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def most_shared(x: bytes, y: bytes, m: int, n: int) -> int:
+    """Most shingles that two sets of sizes ``m`` and ``n`` can share, given their parities.
+
+    Each slot of different parity holds at least one shingle that only one set has. The wider bits are folded to the width of the others.
+    """
+    u, v = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(u) < len(v):
+        u, v = v, u
+    u = np.bitwise_xor.reduce(u.reshape(-1, len(v)), 0)
+    return (m + n - int(np.bitwise_count(u ^ v).sum())) // 2
+
+
+def plausible(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs whose parities do not rule out that they are similar; these are a sixteenth of the sets' own size to move."""
+    left, right = (sets.select(F.col("set_id").alias(c), F.col("n").alias(f"n{c}"), F.col("parity").alias(f"x{c}")) for c in "ab")
+
+    def run(batch: pa.RecordBatch) -> Iterator[dict]:
+        columns = (batch[c].to_pylist() for c in ("xa", "xb", "na", "nb"))
+        mask = pa.array([(p + q) * most_shared(x, y, m, n) >= p * (m + n) for x, y, m, n in zip(*columns)], pa.bool_())
+        yield {"a": batch["a"].filter(mask), "b": batch["b"].filter(mask)}
+
+    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "xa", "xb"), run, _struct(a=LONG, b=LONG))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     """Pairs that are similar, by the exact overlap of their sets."""
     left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("xa"))
@@ -407,7 +440,8 @@ def text_classes(docs: DataFrame, p: int = 3, q: int = 4, size: int = 5, key: st
 
     # One document of each needed set; its text is read once more for the full set.
     sets = full_sets(rows, materialise(chosen(own, clusters, pairs), "chosen"), size)
-    links = cluster_links(sets, p, q).union(verified(pairs, sets, p, q))
+    likely = materialise(plausible(pairs, sets, p, q), "likely")
+    links = cluster_links(sets, p, q).union(verified(likely, sets, p, q))
     joined = components(links).withColumnsRenamed({"id": "set_id", "component": "class"})
     marked = own.join(joined, "set_id", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("class", "set_id")))
     marked = materialise(marked, "classes")
