@@ -492,24 +492,6 @@ def test_classifier_on_held_out_rows(spark, folder, odd, empty):
     assert {r.score for r in none.collect()} == {0.5} and none.columns == [*[c for c in odd.columns if c != "score"], "score"]
 
 
-def test_parities_never_rule_out_what_is_shared():
-    rng = np.random.default_rng(8)
-    pool = np.unique(rng.integers(0, 1 << 63, 3000, dtype=np.int64).view(np.uint64))
-    alike = tight = 0
-    for _ in range(300):
-        m, n = rng.integers(1, 700, 2)
-        x, y = (np.sort(rng.choice(pool, k, replace=False)) for k in (m, n))
-        y = np.unique(np.concatenate([y, x[: int(rng.integers(0, m + 1))]]))
-        shared = len(np.intersect1d(x, y))
-        bound = jaccard_join.most_shared(jaccard_join.parity(x), jaccard_join.parity(y), len(x), len(y))
-        assert shared <= bound == jaccard_join.most_shared(jaccard_join.parity(y), jaccard_join.parity(x), len(y), len(x))
-        if 4 * min(len(x), len(y)) >= 3 * max(len(x), len(y)):  # sizes that can be similar
-            alike += 1
-            tight += bound - shared <= 0.15 * (len(x) + len(y))
-    assert alike > 50 and tight > 0.9 * alike
-    assert jaccard_join.most_shared(jaccard_join.parity(pool), jaccard_join.parity(pool), len(pool), len(pool)) == len(pool)
-
-
 def test_vectors_as_brute_force(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(60, 24))
