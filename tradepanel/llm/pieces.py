@@ -17,13 +17,15 @@ LETTER, NUMBER, SIGN, SPACE = 0, 1, 2, 3
 
 
 def _classes() -> np.ndarray:
-    """Class of every code point."""
+    """Class of every code point, found block by block: a string of all of them and its characters would take 120 MB for a moment."""
     out = np.full(0x110000, SIGN, np.uint8)
-    text = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    for kind, sort in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE)):
-        for m in regex.finditer(kind, text):
-            first, last = ord(m[0][0]), ord(m[0][-1])
-            out[first : last + 1] = sort
+    for start in range(0, len(out), 0x800):
+        if start == 0xD800:  # surrogates are no characters
+            continue
+        text = "".join(map(chr, range(start, start + 0x800)))
+        for kind, sort in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE)):
+            for m in regex.finditer(kind, text):
+                out[start + m.start() : start + m.end()] = sort
     return out
 
 
