@@ -36,9 +36,9 @@ from tradepanel.llm.common import kept, map_batches, release, slices, utf8_size
 from tradepanel.llm.pieces import Splitter, budget_slices
 
 CHUNK = 1 << 16  # characters
-MOST_STATES = 200_000
-MOST_PAIRS = 500_000
-MOST_PIECES = 1_000_000
+MOST_STATES = 120_000  # about 100 MB with their transitions; fewer are made anew too often
+MOST_PAIRS = 250_000  # about 35 MB
+MOST_PIECES = 100_000  # of 64 bytes at most, in each of two generations, about 20 MB together
 FEW_TOKENS = 16
 START = -1
 NEVER = 1 << 60
@@ -85,6 +85,7 @@ class Transducer:
         self.pairs: dict[tuple[int, int], bool] = {}
         self.edges: dict[tuple[int, bool], list[tuple[int, int]]] = {}
         self.pieces: dict[bytes, int] = {}
+        self.older: dict[bytes, int] = {}  # the generation before; what is still in use moves up again
         self.forget()
 
     def forget(self) -> None:
@@ -186,19 +187,21 @@ class Transducer:
         found = self.pieces.get(data)
         if found is not None:
             return found
-        if len(self.states) >= MOST_STATES:
-            self.forget()
-        state = total = 0
-        steps = self.steps
-        for x in data:
-            step = steps.get(state << 8 | x)
-            if step is None:
-                step = self.compile_step(state, x)
-            state = step[0]
-            total += step[1]
+        total = self.older.get(data)
+        if total is None:
+            if len(self.states) >= MOST_STATES:
+                self.forget()
+            state = total = 0
+            steps = self.steps
+            for x in data:
+                step = steps.get(state << 8 | x)
+                if step is None:
+                    step = self.compile_step(state, x)
+                state = step[0]
+                total += step[1]
         if len(data) <= 64:
             if len(self.pieces) >= MOST_PIECES:
-                self.pieces.clear()
+                self.older, self.pieces = self.pieces, {}
             self.pieces[data] = total
         return total
 
@@ -301,7 +304,7 @@ class Counter:
                     maps = [self.map_of(part[k : k + self.chunk]) for k in range(0, len(part), self.chunk)]
                     total[i] += self.close(prefix_scan(maps, self.compose)[-1])
         start = 0
-        for run in budget_slices(short):
+        for run in budget_slices(short, 2 << 20):
             np.add.at(total, owner[start : start + len(run)], self.tokens_in(run))
             start += len(run)
         return total
