@@ -15,7 +15,8 @@ How the search is spread over tasks:
    tentative clusters: groups of near copies, in which nearly all pairs would be candidates.
 4. Inside a cluster the full T-occurrence search runs on blocks of bounded size and yields only links that
    connect something new. Pairs of members of different clusters are counted over all lists
-   and verified exactly where their count can still reach T. So every pair that shares a prefix
+   and verified where their count can still reach T: first by the low bytes of their shingles, which bound
+   the overlap from above, then exactly. So every pair that shares a prefix
    shingle is decided, and no list or cluster is expanded into its pairs.
 """
 
@@ -39,6 +40,7 @@ FREQUENT = 1 << 16  # shingles that are ordered last, at most
 LOCAL = 8  # sets of one batch that a shingle must be in to be considered for that
 LIST_BLOCK = 2048  # members of a list, or
 SHINGLE_BLOCK = 1 << 20  # shingles of a cluster, that are paired with another such block at a time
+WIDE = 1 << 12  # shingles of a set from which four bytes of each, not two, bound an overlap
 TIED = 0.05  # share of a set's prefix that, in lists led by one leader and at least two of them, ties it to that
 
 
@@ -285,32 +287,42 @@ def search(queries: list[tuple[int, np.ndarray]], index: list[tuple[int, np.ndar
 
 
 def chosen(own: DataFrame, clusters: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One document of each set that is in a cluster or in a pair: ``key``, ``set_id``, ``n``, ``cluster``, ``blocks``, ``copies``.
+    """One document of each set that is in a cluster or in a pair: ``key``, ``set_id``, ``n``, ``cluster``, ``blocks``, ``paired``, ``copies``.
 
-    ``blocks`` says into how many parts the set's cluster is cut, ``copies`` how many rows have the document's
-    key and set. Everything here is numbers; copies are counted before sets meet their clusters.
+    ``blocks`` says into how many parts the set's cluster is cut, ``paired`` whether the set is in a pair, ``copies`` how
+    many rows have the document's key and set. Everything here is numbers; copies are counted before sets meet their clusters.
     """
-    paired = pairs.select(F.explode(F.array("a", "b")).alias("set_id"), F.lit(None).cast("long").alias("cluster"))
-    needed = clusters.select("set_id", "cluster").union(paired).groupBy("set_id").agg(F.max("cluster").alias("cluster"))
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("set_id"), F.lit(None).cast("long").alias("cluster"), F.lit(True).alias("paired"))
+    needed = clusters.select("set_id", "cluster", F.lit(False).alias("paired")).union(paired)
+    needed = needed.groupBy("set_id").agg(F.max("cluster").alias("cluster"), F.max("paired").alias("paired"))
     found = own.where("n > 0").groupBy("set_id", "n", "key").agg(F.count(F.lit(1)).alias("copies"))
     found = found.groupBy("set_id", "n").agg(F.min(F.struct("key", "copies")).alias("x")).join(needed, "set_id")
-    found = found.select("x.key", "set_id", "n", "cluster", "x.copies")
+    found = found.select("x.key", "set_id", "n", "cluster", "paired", "x.copies")
     sizes = found.where("cluster is not null").groupBy("cluster").agg(F.sum("n").alias("shingles"))
     sizes = sizes.select("cluster", F.expr(f"cast((shingles + {SHINGLE_BLOCK - 1}) div {SHINGLE_BLOCK} as int)").alias("blocks"))
-    return found.join(sizes, "cluster", "left").select("key", "set_id", "n", "cluster", "blocks", "copies")
+    return found.join(sizes, "cluster", "left").select("key", "set_id", "n", "cluster", "blocks", "paired", "copies")
+
+
+def low_bytes(shingles: np.ndarray) -> bytes:
+    """The low two (of large sets four) bytes of each shingle."""
+    return shingles.astype(np.uint16 if len(shingles) < WIDE else np.uint32).tobytes()
 
 
 def full_sets(rows: DataFrame, one: DataFrame, size: int) -> DataFrame:
-    """``one`` with the shingles of each of its sets. Texts are read again; Spark broadcasts ``one`` if it is small."""
-    names = ["set_id", "n", "cluster", "blocks", "copies"]
+    """``one`` with the shingles of each of its sets, and ``low``, their low bytes, of those in a pair.
+
+    Texts are read again; Spark broadcasts ``one`` if it is small.
+    """
+    names = ["set_id", "n", "cluster", "blocks", "paired", "copies"]
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         for part, sets, digests in _sets(batch, size):
             right = np.flatnonzero(_ids(digests) == np.asarray(part["set_id"]))  # a repeated id can have other sets too
             if len(right):
-                yield {c: part[c].take(pa.array(right)) for c in names} | {"shingles": [sets[k].tobytes() for k in right]}
+                out = {c: part[c].take(pa.array(right)) for c in names} | {"shingles": [sets[k].tobytes() for k in right]}
+                yield out | {"low": [low_bytes(sets[k]) if yes else None for k, yes in zip(right, out["paired"].to_pylist())]}
 
-    schema = _struct(set_id=LONG, n=LONG, cluster=LONG, blocks=T.IntegerType(), copies=LONG, shingles=BIN)
+    schema = _struct(set_id=LONG, n=LONG, cluster=LONG, blocks=T.IntegerType(), paired=T.BooleanType(), copies=LONG, shingles=BIN, low=BIN)
     found = materialise(map_batches(rows.join(one, "key").select(*names, "text"), run, schema), "sets")
     # Only rows that are repeated under one key come more than once.
     return found.where("copies = 1").union(found.where("copies > 1").dropDuplicates(["set_id"]))
@@ -352,10 +364,33 @@ def cluster_links(sets: DataFrame, p: int, q: int) -> DataFrame:
     return own.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(run, schema)
 
 
+def possible(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs that the low bytes of their shingles leave: common shingles have common low bytes, so a bound is never too small."""
+    sets = sets.where("paired")
+    left = sets.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("low").alias("xa"))
+    right = sets.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("low").alias("xb"))
+
+    def run(batch: pa.RecordBatch) -> Iterator[dict]:
+        good = []
+        for x, y, m, n in zip(*(batch[c].to_pylist() for c in ("xa", "xb", "na", "nb"))):
+            u, v = (np.frombuffer(z, np.uint16 if k < WIDE else np.uint32) for z, k in ((x, m), (y, n)))
+            if u.dtype != v.dtype:
+                u, v = u.astype(np.uint16), v.astype(np.uint16)
+            good.append((p + q) * int(np.isin(u, v).sum()) >= p * (m + n))
+        mask = pa.array(good, pa.bool_())
+        yield {"a": batch["a"].filter(mask), "b": batch["b"].filter(mask)}
+
+    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "xa", "xb"), run, _struct(a=LONG, b=LONG))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """Pairs that are similar, by the exact overlap of their sets."""
-    left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("xa"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("xb"))
+    """Pairs that are similar, by the exact overlap of their sets. Only sets of these pairs move."""
+
+    def side(one: str, whole: str) -> DataFrame:
+        mine = sets.select(F.col("set_id").alias(one), F.col("shingles").alias(whole))
+        return mine.join(pairs.select(one).distinct(), one, "left_semi")
+
+    left, right = side("a", "xa"), side("b", "xb")
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         good = []
@@ -407,7 +442,8 @@ def text_classes(docs: DataFrame, p: int = 3, q: int = 4, size: int = 5, key: st
 
     # One document of each needed set; its text is read once more for the full set.
     sets = full_sets(rows, materialise(chosen(own, clusters, pairs), "chosen"), size)
-    links = cluster_links(sets, p, q).union(verified(pairs, sets, p, q))
+    near = materialise(possible(pairs, sets, p, q), "near")
+    links = cluster_links(sets, p, q).union(verified(near, sets, p, q))
     joined = components(links).withColumnsRenamed({"id": "set_id", "component": "class"})
     marked = own.join(joined, "set_id", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("class", "set_id")))
     marked = materialise(marked, "classes")
