@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Runner], Runner]:
 def _load() -> None:
     from tradepanel.catalog import (  # noqa: F401
         aggregates, dashboards, domain, features, forecasts, joins, models, projections, reshapes, scalars, scans,
-        windows,
+        stored, windows,
     )
 
 
