@@ -83,3 +83,9 @@ def test_incomplete_and_empty_rows(spark, rows):
     assert slopes == {"x": 0.0} and effects.count() == 0
     assert categories.level_positions(rows.limit(0), ["letter"]).count() == 0
     assert [r["product"] for r in categories.sparse_products(rows.limit(0), [], ["letter"]).collect()] in ([], [None])
+
+
+def test_pairs_of_levels_carry_a_count_and_no_sums(rows):
+    plan = categories.sparse_products(rows, ["x", "y"], ["letter", "digit"])._jdf.queryExecution().optimizedPlan().toString()
+    sums = [line.count("sum(") for line in plan.splitlines() if "Aggregate [" in line]
+    assert len(sums) == 3 and sums[2] == 0 and sums[1] < sums[0]

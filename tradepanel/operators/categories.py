@@ -11,7 +11,8 @@ from its means. The result equals that of a fit with one 0/1 column per level.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 from itertools import combinations, combinations_with_replacement
 
 import numpy as np
@@ -65,8 +66,9 @@ def sparse_products(df: DataFrame, numbers: Sequence[str], categories: Sequence[
     """Cross products of a constant, number columns and the indicators of all levels, those that are not 0 by construction.
 
     Columns ``left``, ``left_level``, ``right``, ``right_level`` and ``product``; the level of the constant and of a number is
-    null. Each pair stands once, in the order constant, numbers, categories. One pass: every set of at most two categories is a grouping set,
-    combined before the shuffle. Rows with a null in any of the columns are left out.
+    null. Each pair stands once, in the order constant, numbers, categories. Every set of at most two categories is a grouping set,
+    combined before the shuffle, which carries only the sums that the set is asked for: all for none, those of the terms for one category, a count
+    for two. Rows with a null in any of the columns are left out.
     """
     rows = df.dropna(subset=[*numbers, *categories])
     terms = [ONE, *numbers]
@@ -74,29 +76,29 @@ def sparse_products(df: DataFrame, numbers: Sequence[str], categories: Sequence[
     def value(a: str) -> Column:
         return F.lit(1.0) if a == ONE else F.col(a).cast("double")
 
-    sums = {(a, b): exact_sum(value(a) * value(b), None) for a, b in combinations_with_replacement(terms, 2)}
-    sets = [[], *[[c] for c in categories], *map(list, combinations(categories, 2))]
-    names = {pair: f"_s{i}" for i, pair in enumerate(sums)}
-    grouped = rows.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in categories]).agg(
-        F.grouping_id().alias("_set"), *[s.alias(names[p]) for p, s in sums.items()]
-    )
-    width = len(categories)
-    whole = (1 << width) - 1
-
-    def entry(a: str, b: str, total: str) -> Column:
+    def entry(a: str, b: str, total: Column) -> Column:
         level = lambda x: F.col(x).cast("string") if x in categories else F.lit(None).cast("string")
-        return F.struct(F.lit(a).alias("left"), level(a).alias("left_level"), F.lit(b).alias("right"), level(b).alias("right_level"), F.col(total).alias("product"))
-
-    def without(*chosen: str) -> int:
-        return whole - sum(1 << (width - 1 - list(categories).index(c)) for c in chosen)
-
-    entries = F.when(F.col("_set") == whole, F.array(*[entry(a, b, names[a, b]) for a, b in sums]))
-    for c in categories:
-        own = [*[entry(a, c, names[ONE, a]) for a in terms], entry(c, c, names[ONE, ONE])]
-        entries = entries.when(F.col("_set") == without(c), F.array(*own))
-    for a, b in combinations(categories, 2):
-        entries = entries.when(F.col("_set") == without(a, b), F.array(entry(a, b, names[ONE, ONE])))
-    return grouped.select(F.explode(entries).alias("e")).select("e.*")
+        return F.struct(F.lit(a).alias("left"), level(a).alias("left_level"), F.lit(b).alias("right"), level(b).alias("right_level"), total.alias("product"))
+
+    def entries(sets: list[list[str]], sums: dict[str, Column], made: Callable[[list[str]], list[Column]]) -> DataFrame:
+        """One grouping set for each of ``sets``, with the same sums; ``made`` turns those of a set into its entries."""
+        number, width = F.lit(None), len(categories)
+        for s in sets:
+            number = F.when(F.col("_set") == sum(1 << (width - 1 - i) for i, c in enumerate(categories) if c not in s), F.array(*made(s))).otherwise(number)
+        grouped = rows.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in categories])
+        return grouped.agg(F.grouping_id().alias("_set"), *[x.alias(n) for n, x in sums.items()]).select(F.explode(number).alias("e")).select("e.*")
+
+    whole = {(a, b): f"_s{i}" for i, (a, b) in enumerate(combinations_with_replacement(terms, 2))}
+    parts = [entries([[]], {n: exact_sum(value(a) * value(b), None) for (a, b), n in whole.items()}, lambda s: [entry(a, b, F.col(n)) for (a, b), n in whole.items()])]
+    if categories:
+        single = {f"_s{i}": exact_sum(value(a), None) for i, a in enumerate(terms)}
+        parts.append(entries(
+            [[c] for c in categories], single, lambda s: [*[entry(a, s[0], F.col(n)) for n, a in zip(single, terms)], entry(s[0], s[0], F.col("_s0"))]
+        ))
+    if len(categories) > 1:
+        count = {"_s0": F.count(F.lit(1)).cast("double")}
+        parts.append(entries([list(s) for s in combinations(categories, 2)], count, lambda s: [entry(s[0], s[1], F.col("_s0"))]))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def absorbed_fit(df: DataFrame, numbers: Sequence[str], category: str, label: str) -> tuple[dict[str, float], DataFrame]:
