@@ -296,3 +296,14 @@ def test_growth_fills_interior_gaps_first(spark):
 def test_one_row_per_year(spark):
     df = spark.createDataFrame([("a", 1, 1.0), ("a", 1, 2.0)], "p string, year int, v double")
     assert rows(windows.one_row_per_year(df, ["p"], ["v"])) == [("a", 1, 3.0)]
+
+
+def test_group_median_is_dealt_by_rows(spark, monkeypatch):
+    """Sorted values pack well, so that a task dealt by bytes held far too many rows."""
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 5003).alias("v"), F.lit(1.5).alias("w"))
+    monkeypatch.setattr(ordering, "PIECE_ROWS", 100)
+    median = ordering.group_median(df, ["g"], ["v", "w"])
+    assert "REPARTITION_BY_NUM" in median._jdf.queryExecution().toString()
+    got = {r["g"]: (r["v"], r["w"]) for r in median.collect()}
+    values = {g: [i * 7919 % 5003 for i in range(g, 5000, 3)] for g in range(3)}
+    assert got == {g: (statistics.median(v), 1.5) for g, v in values.items()}

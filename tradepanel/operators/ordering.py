@@ -17,6 +17,7 @@ from tradepanel.session import materialise
 
 INDEX = "row_index"
 BLOCK_ROWS = 1 << 20
+PIECE_ROWS = 1 << 20  # rows that a task of a median's search has on average, at most
 
 
 def with_row_index(df: DataFrame, order: Sequence[Column | str], name: str = INDEX) -> DataFrame:
@@ -83,11 +84,12 @@ def group_median(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
     Equal values are counted first, so ties cost nothing. The distinct values are then
     range-sorted, and a group that is spread over several sort partitions stays so: the
     small table of (group, partition) row counts tells which piece holds the middle, and
-    only that piece is searched. Groups whose values are all null give no row.
+    only that piece is searched. The search is dealt by number of rows, as sorted values pack so well that
+    their bytes say little of the memory they need. Groups whose values are all null give no row.
     """
     keys = list(keys)
     group = [*keys, "_measure"]
-    cells = F.array(*[F.struct(F.lit(c).alias("m"), F.col(c).cast("double").alias("v")) for c in columns])
+    cells = F.array(*[F.struct(F.lit(i).alias("m"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
     values = df.dropna(subset=keys).select(*keys, F.explode(cells).alias("_x"))
     counted = (
         values.where(F.col("_x.v").isNotNull())
@@ -103,19 +105,26 @@ def group_median(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
     whole = Window.partitionBy(*group)
     before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     total = F.sum("_size").over(whole)
-    middles = F.array(F.floor((total - 1) / 2), F.floor(total / 2))
+    within = {"_low": F.floor((total - 1) / 2) - F.col("_before"), "_high": F.floor(total / 2) - F.col("_before")}
     wanted = (
-        sizes.withColumns({"_before": F.coalesce(F.sum("_size").over(before), F.lit(0)), "_middles": middles})
-        .select(*piece, "_size", "_before", F.posexplode("_middles").alias("_side", "_at"))
-        .where((F.col("_at") >= F.col("_before")) & (F.col("_at") < F.col("_before") + F.col("_size")))
-        .select(*piece, "_side", (F.col("_at") - F.col("_before")).alias("_at"))
+        sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+        .withColumns(within)
+        .where((F.col("_high") >= 0) & (F.col("_low") < F.col("_size")))
+        .select(*piece, *within)
     )
-    running = F.sum("_n").over(Window.partitionBy(*piece, "_side").orderBy("_value"))
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-ordered.count() // PIECE_ROWS))
+    running = F.sum("_n").over(Window.partitionBy(*piece).orderBy("_value"))
+
+    def holds(at: str) -> Column:
+        return (F.col(at) < F.col("_upto")) & (F.col(at) >= F.col("_upto") - F.col("_n"))
+
     picked = (
-        ordered.join(wanted, piece)
+        ordered.repartition(parts, *piece)
         .withColumn("_upto", running)
-        .where((F.col("_at") < F.col("_upto")) & (F.col("_at") >= F.col("_upto") - F.col("_n")))
+        .join(wanted, piece)
+        .where(holds("_low") | holds("_high"))
+        .withColumn("_side", F.explode(F.filter(F.array(F.when(holds("_low"), 0), F.when(holds("_high"), 1)), lambda x: x.isNotNull())))
     )
     return picked.groupBy(*keys).agg(
-        *[F.avg(F.when(F.col("_measure") == c, F.col("_value"))).alias(c) for c in columns]
+        *[F.avg(F.when(F.col("_measure") == i, F.col("_value"))).alias(c) for i, c in enumerate(columns)]
     )
