@@ -13,6 +13,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -546,3 +547,34 @@ def test_distance_of_histograms(spark):
     m = (p + q) / 2
     js = np.sqrt((p * np.log2(p / m) + q * np.log2(q / m)).sum() / 2)
     assert got[0] == 0 and got[1] == pytest.approx(1) and got[2] is None and got[3] == pytest.approx(js)
+
+
+@pytest.mark.parametrize("words", [1, 64, 1 << 20])
+def test_sieve_divides_rows_and_misses_no_key(spark, words):
+    from tradepanel.llm.common import sieved
+
+    rows = spark.range(3000).select(F.xxhash64("id").alias("key"), F.col("id").alias("v"))
+    keys = rows.where("v % 7 = 0").select("key")
+    clear, met = sieved(rows, keys, "key", words)
+    a, b = {r["v"] for r in clear.collect()}, {r["v"] for r in met.collect()}
+    assert clear.count() + met.count() == 3000 and a | b == set(range(3000)) and not a & b
+    assert b >= set(range(0, 3000, 7)) and (words < 64 or len(b) < 1200)
+
+
+def test_only_needed_texts_are_read_again(spark):
+    """Rows outside the sieve meet no join; repeated rows stand once; a row whose set is another one is left out."""
+    rows = spark.createDataFrame([(i, f"a b c d e f text {i % 40}") for i in range(50)] + [(3, "a b c d e f text 3")], "doc_id long, text string")
+    rows = rows.withColumn("key", jaccard_join.text_key(F.col("doc_id"), F.col("text")))
+    first = jaccard_join.members(rows, 5).where("set_id is not null")
+    one = first.where("doc_id in (3, 7)").groupBy("set_id", "n", "key").agg(F.count(F.lit(1)).alias("copies"))
+    one = one.select("key", "set_id", "n", F.lit(1).cast("long").alias("cluster"), F.lit(1).alias("blocks"), F.lit(True).alias("paired"), "copies")
+    texts = jaccard_join.full_texts(rows, one)
+    assert sorted(r["text"][-1] for r in texts.collect()) == ["3", "7"]
+    assert jaccard_join.paired_sets(texts, 5).count() == 2
+    assert jaccard_join.paired_sets(texts.withColumn("set_id", F.col("set_id") + 1), 5).count() == 0
+
+
+def test_frequent_shingles_are_found_in_portions(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"one two three four five six {i}", i) for i in range(30)], "doc_id long, text string, key long").coalesce(1)
+    found = jaccard_join.members(docs, 5).where("shingle is not null").agg(F.sum("count")).first()[0]
+    assert found == 60  # two shingles that all have

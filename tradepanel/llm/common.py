@@ -16,7 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradepanel.session import materialise
+
 _KEPT = "_llm_values_kept_by_this_worker"
+SIEVE_WORDS = 1 << 20  # rows of a sieve, 64 hash slots each
 
 
 def kept(key: Any, build: Callable[[], Any]) -> Any:
@@ -91,6 +94,20 @@ def with_fields(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in new], *[c.alias(n) for n, c in columns.items()])
 
 
+def sieved(rows: DataFrame, keys: DataFrame, key: str, words: int = SIEVE_WORDS) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``key``, a 64-bit hash, is surely not among ``keys``, and those whose key may be; no row is shuffled.
+
+    The keys' hash slots are marked in a table of at most ``words`` rows, a power of two, which is broadcast whatever the number of keys.
+    With very many keys more rows may be among them, which costs their way to an exact join and no more.
+    """
+    word = F.shiftrightunsigned(F.col(key), 6).bitwiseAND(F.lit(words - 1)).alias("_word")
+    bit = F.expr(f"shiftleft(1L, cast(`{key}` & 63 as int))")
+    marked = F.broadcast(materialise(keys.groupBy(word).agg(F.bit_or(bit).alias("_bits")), "sieve"))
+    met = rows.withColumn("_word", word).join(marked, "_word", "left")
+    may = F.coalesce(F.col("_bits"), F.lit(0)).bitwiseAND(bit) != 0
+    return met.where(~may).select(*rows.columns), met.where(may).select(*rows.columns)
+
+
 def utf8_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 

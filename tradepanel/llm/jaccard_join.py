@@ -32,12 +32,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradepanel.llm import bytescan
-from tradepanel.llm.common import kept, map_batches, slices
+from tradepanel.llm.common import kept, map_batches, release, sieved, slices
 from tradepanel.llm.components import components
 from tradepanel.session import materialise
 
 FREQUENT = 1 << 16  # shingles that are ordered last, at most
-LOCAL = 8  # sets of one batch that a shingle must be in to be considered for that
+LOCAL = 4  # sets of one portion that a shingle must be in to be considered for that
+PORTION = 1 << 21  # shingles that a task looks through for that at a time
+TEXT_SLICE = 1 << 20  # bytes of text that are made sets at a time
 LIST_BLOCK = 2048  # members of a list, or
 SHINGLE_BLOCK = 1 << 20  # shingles of a cluster, that are paired with another such block at a time
 WIDE = 1 << 12  # shingles of a set from which four bytes of each, not two, bound an overlap
@@ -46,7 +48,7 @@ TIED = 0.05  # share of a set's prefix that, in lists led by one leader and at l
 
 def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[bytes]]]:
     tables = kept("bytescan", lambda: bytescan._tables(True))
-    for rows in slices(batch, "text"):
+    for rows in slices(batch, "text", TEXT_SLICE):
         sets = bytescan.shingle_sets([(x or "").encode() for x in rows["text"].to_pylist()], size, tables)
         yield rows, sets, [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
 
@@ -65,19 +67,36 @@ LONG, BIN = T.LongType(), T.BinaryType()
 def members(docs: DataFrame, size: int) -> DataFrame:
     """One row per document (``doc_id``, ``key``, ``n``, ``set_id``), and rows of locally frequent shingles (``shingle``, ``count``)."""
 
+    def frequent(held: list[np.ndarray]) -> dict:
+        flat = np.concatenate(held)
+        flat.sort()
+        last = flat[LOCAL - 1 :]
+        found = np.unique(last[last == flat[: len(last)]])
+        count = np.searchsorted(flat, found, "right") - np.searchsorted(flat, found, "left")
+        none = pa.nulls(len(found), pa.int64())
+        return {"doc_id": none, "key": none, "n": none, "set_id": none, "shingle": found.view(np.int64), "count": count}
+
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        seen: dict[bytes, np.ndarray] = {}
+        seen: set[bytes] = set()
+        held: list[np.ndarray] = []
+        size_held = 0
         for rows, sets, digests in _sets(batch, size):
             none = pa.nulls(len(sets), pa.int64())
             yield {
                 "doc_id": rows["doc_id"], "key": rows["key"], "n": [len(s) for s in sets], "set_id": _ids(digests), "shingle": none, "count": none
             }
-            seen.update(zip(digests, sets))
-        if seen:
-            found, count = np.unique(np.concatenate(list(seen.values())), return_counts=True)
-            found, count = found[count >= LOCAL], count[count >= LOCAL]
-            none = pa.nulls(len(found), pa.int64())
-            yield {"doc_id": none, "key": none, "n": none, "set_id": none, "shingle": found.view(np.int64), "count": count}
+            for s, digest in zip(sets, digests):
+                if digest not in seen:
+                    seen.add(digest)
+                    held.append(s)
+                    size_held += len(s)
+            if size_held >= PORTION:
+                yield frequent(held)
+                held, size_held = [], 0
+        if held:
+            yield frequent(held)
+        held, sets = [], []
+        release()
 
     return map_batches(docs, run, _struct(doc_id=LONG, key=LONG, n=LONG, set_id=LONG, shingle=LONG, count=LONG))
 
@@ -106,6 +125,7 @@ def prefixes(docs: DataFrame, size: int, p: int, q: int, frequent: np.ndarray) -
                 parts["pos"].append(np.arange(keep))
             if parts["h"]:
                 yield {c: np.concatenate(v) for c, v in parts.items()}
+        release()
 
     return map_batches(docs, run, _struct(h=LONG, set_id=LONG, n=LONG, pos=LONG))
 
@@ -152,10 +172,11 @@ def shared_lists(entries: DataFrame) -> DataFrame:
 
 def cross_pairs(lists: DataFrame, clusters: DataFrame, p: int, q: int) -> DataFrame:
     """Pairs of sets in different clusters whose count over all lists can still reach T: ``a``, ``b``."""
-    own = lists.select("h", "set_id", "n", "pos").join(clusters, "set_id", "left").withColumn("cluster", F.coalesce("cluster", "set_id"))
+    own = lists.select("h", "set_id", "n", "pos").join(clusters.hint("merge"), "set_id", "left").withColumn("cluster", F.coalesce("cluster", "set_id"))
     # Only long lists need blocks; they are few, so that the other lists are shuffled once, to their pairs.
     long = lists.groupBy("h").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > LIST_BLOCK)
     long = long.select("h", F.expr(f"cast((members + {LIST_BLOCK - 1}) div {LIST_BLOCK} as int)").alias("blocks"))
+    long = materialise(long, "long")  # written, so that its size is known before the entries would be shuffled to it
     own = own.join(long, "h", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = own.withColumn("side", F.expr("cast(pmod(set_id, blocks) as int)"))
     spread = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -308,31 +329,41 @@ def low_bytes(shingles: np.ndarray) -> bytes:
     return shingles.astype(np.uint16 if len(shingles) < WIDE else np.uint32).tobytes()
 
 
-def full_sets(rows: DataFrame, one: DataFrame, size: int) -> DataFrame:
-    """``one`` with the shingles of each of its sets, and ``low``, their low bytes, of those in a pair.
+def full_texts(rows: DataFrame, one: DataFrame) -> DataFrame:
+    """``one`` with the text of each of its sets; texts are read again, and only those that a sieve of the keys lets through meet ``one``.
 
-    Texts are read again; Spark broadcasts ``one`` if it is small.
+    Both this join and that of list entries with clusters are merged at every size, so that disk and memory a GB do not jump
+    where a table of numbers grows past the broadcast limit.
     """
-    names = ["set_id", "n", "cluster", "blocks", "paired", "copies"]
+    _, needed = sieved(rows, one, "key")
+    found = materialise(needed.join(one.hint("merge"), "key").select("set_id", "n", "cluster", "blocks", "paired", "copies", "text"), "texts")
+    # Only rows that are repeated under one key come more than once.
+    return found.where("copies = 1").union(found.where("copies > 1").dropDuplicates(["set_id", "text"]))
+
+
+def _right(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch, list[int], list[np.ndarray]]]:
+    """The rows of a batch that have the set they stand for, in slices; a repeated key can have other sets too."""
+    for part, sets, digests in _sets(batch, size):
+        yield part, np.flatnonzero(_ids(digests) == np.asarray(part["set_id"])).tolist(), sets
+
+
+def paired_sets(texts: DataFrame, size: int) -> DataFrame:
+    """The shingles of each set that is in a pair, and ``low``, their low bytes."""
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        for part, sets, digests in _sets(batch, size):
-            right = np.flatnonzero(_ids(digests) == np.asarray(part["set_id"]))  # a repeated id can have other sets too
-            if len(right):
-                out = {c: part[c].take(pa.array(right)) for c in names} | {"shingles": [sets[k].tobytes() for k in right]}
-                yield out | {"low": [low_bytes(sets[k]) if yes else None for k, yes in zip(right, out["paired"].to_pylist())]}
-
-    schema = _struct(set_id=LONG, n=LONG, cluster=LONG, blocks=T.IntegerType(), paired=T.BooleanType(), copies=LONG, shingles=BIN, low=BIN)
-    found = materialise(map_batches(rows.join(one, "key").select(*names, "text"), run, schema), "sets")
-    # Only rows that are repeated under one key come more than once.
-    return found.where("copies = 1").union(found.where("copies > 1").dropDuplicates(["set_id"]))
+        for part, right, sets in _right(batch, size):
+            out = {c: part[c].take(pa.array(right, pa.int64())) for c in ("set_id", "n")}
+            yield out | {"shingles": [sets[k].tobytes() for k in right], "low": [low_bytes(sets[k]) for k in right]}
+        release()
+
+    return map_batches(texts.where("paired").select("set_id", "n", "text"), run, _struct(set_id=LONG, n=LONG, shingles=BIN, low=BIN))
 
 
-def cluster_links(sets: DataFrame, p: int, q: int) -> DataFrame:
-    """Links inside clusters; a cluster with many shingles is searched block by block."""
-    own = sets.where("cluster is not null").withColumn("side", F.expr("cast(pmod(set_id, blocks) as int)"))
+def cluster_links(texts: DataFrame, size: int, p: int, q: int) -> DataFrame:
+    """Links inside clusters; a cluster with many shingles is searched block by block. Texts move, which are shorter than their sets."""
+    own = texts.where("cluster is not null").withColumn("side", F.expr("cast(pmod(set_id, blocks) as int)"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    own = own.select("cluster", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "set_id", "shingles")
+    own = own.select("cluster", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "set_id", "text")
     schema = _struct(a=LONG, b=LONG)
     arrow = pa.schema([(f.name, pa.int64()) for f in schema])
 
@@ -347,17 +378,21 @@ def cluster_links(sets: DataFrame, p: int, q: int) -> DataFrame:
 
         out: list[tuple[int, int]] = []
         for batch in batches:
-            for c, i, j, side, s, x in zip(*(batch[k].to_pylist() for k in ("cluster", "i", "j", "side", "set_id", "shingles"))):
-                if now != (c, i, j):
-                    if group:
-                        out += close()
-                    now, group = (c, i, j), []
-                group.append((side, s, np.frombuffer(x, np.uint64)))
+            for part, right, sets in _right(batch, size):
+                c, i, j, side, s = (part[k].to_pylist() for k in ("cluster", "i", "j", "side", "set_id"))
+                for k in right:
+                    if now != (c[k], i[k], j[k]):
+                        if group:
+                            out += close()
+                        now, group = (c[k], i[k], j[k]), []
+                    group.append((side[k], s[k], sets[k]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out)], schema=arrow)
                 out = []
         if group:
             out += close()
+        group = []
+        release()
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out)], schema=arrow)
 
@@ -366,14 +401,13 @@ def cluster_links(sets: DataFrame, p: int, q: int) -> DataFrame:
 
 def possible(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     """Pairs that the low bytes of their shingles leave: common shingles have common low bytes, so a bound is never too small."""
-    sets = sets.where("paired")
     left = sets.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("low").alias("xa"))
     right = sets.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("low").alias("xb"))
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         good = []
-        for x, y, m, n in zip(*(batch[c].to_pylist() for c in ("xa", "xb", "na", "nb"))):
-            u, v = (np.frombuffer(z, np.uint16 if k < WIDE else np.uint32) for z, k in ((x, m), (y, n)))
+        for x, y, m, n in zip(batch["xa"], batch["xb"], batch["na"].to_pylist(), batch["nb"].to_pylist()):
+            u, v = (np.frombuffer(z.as_buffer(), np.uint16 if k < WIDE else np.uint32) for z, k in ((x, m), (y, n)))
             if u.dtype != v.dtype:
                 u, v = u.astype(np.uint16), v.astype(np.uint16)
             good.append((p + q) * int(np.isin(u, v).sum()) >= p * (m + n))
@@ -394,8 +428,8 @@ def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         good = []
-        for x, y in zip(batch["xa"].to_pylist(), batch["xb"].to_pylist()):
-            u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        for x, y in zip(batch["xa"], batch["xb"]):
+            u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             both = len(np.intersect1d(u, v, assume_unique=True))
             good.append((p + q) * both >= p * (len(u) + len(v)))
         mask = pa.array(good, pa.bool_())
@@ -441,9 +475,10 @@ def text_classes(docs: DataFrame, p: int = 3, q: int = 4, size: int = 5, key: st
     pairs = materialise(cross_pairs(lists, clusters, p, q), "pairs")
 
     # One document of each needed set; its text is read once more for the full set.
-    sets = full_sets(rows, materialise(chosen(own, clusters, pairs), "chosen"), size)
+    texts = full_texts(rows, materialise(chosen(own, clusters, pairs), "chosen"))
+    sets = materialise(paired_sets(texts, size), "sets")
     near = materialise(possible(pairs, sets, p, q), "near")
-    links = cluster_links(sets, p, q).union(verified(near, sets, p, q))
+    links = cluster_links(texts, size, p, q).union(verified(near, sets, p, q))
     joined = components(links).withColumnsRenamed({"id": "set_id", "component": "class"})
     marked = own.join(joined, "set_id", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("class", "set_id")))
     marked = materialise(marked, "classes")
