@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradepanel.llm import best_fit, jaccard_join, line_crf, quality_rules
-from tradepanel.llm.common import read_file
+from tradepanel.llm.common import read_file, sieved
 from tradepanel.session import materialise
 
 
@@ -32,8 +32,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class of similar ones; a repeated id stays once in each class.
 
     Documents without words, and without id, are in no class and stay. Rows of one id with different texts are
-    told apart by their text. Only rows that go, or whose id is repeated in its class, meet the documents, so
-    texts are not shuffled unless those are many.
+    told apart by their text. Rows that go, or whose id is repeated in its class, meet the documents that a sieve of
+    their keys lets through; no other text is shuffled.
     """
     on = ["doc_id", "_key"]
     classes = materialise(jaccard_join.text_classes(docs).withColumnRenamed("key", "_key"), "classes").where("doc_id is not null")
@@ -42,9 +42,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     again = texts.groupBy(F.col("doc_id").alias("_id"), F.col("class").alias("_class")).agg(F.sum("n").alias("n"), F.min("_key").alias("_first"))
     again = again.where("n > 1")
     repeated = texts.join(again, (F.col("doc_id") == F.col("_id")) & F.col("class").eqNullSafe(F.col("_class")), "left_semi").select(on)
-    keyed = docs.withColumn("_key", jaccard_join.text_key(F.col("doc_id"), F.col("text")))
-    rest = keyed.join(gone.union(repeated).distinct(), on, "left_anti")
-    once = keyed.join(again.select(F.col("_id").alias("doc_id"), F.col("_first").alias("_key")), on, "left_semi").dropDuplicates(on)
+    out = materialise(gone.union(repeated).distinct(), "gone")
+    first = materialise(again.select(F.col("_id").alias("doc_id"), F.col("_first").alias("_key")), "first")
+    clear, met = sieved(docs.withColumn("_key", jaccard_join.text_key(F.col("doc_id"), F.col("text"))), out, "_key")
+    rest = clear.union(met.join(out.hint("merge"), on, "left_anti").select(*clear.columns))
+    once = met.join(first, on, "left_semi").dropDuplicates(on)
     return rest.select(*docs.columns).union(once.select(*docs.columns))
 
 
