@@ -187,6 +187,15 @@ def test_packing_places_every_piece_once(odd, empty):
     assert best_fit.pack_documents(empty).count() == 0
 
 
+def test_packing_sorts_pieces_once_and_joins_nothing(spark):
+    docs = spark.createDataFrame([(i % 40, "x" * (i % 9 * 300)) for i in range(400)], "doc_id long, text string")
+    packed = best_fit.pack_documents(docs, tags=3)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Sort [") == 1
+    places = [(r.bin_id, r.offset) for r in packed.collect() if r.length]
+    assert len(places) == len(set(places)) == sum(1 for i in range(400) if i % 9)
+
+
 def test_registered_packing_is_in_tokens_of_the_library(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
     want = collections.Counter({r.doc_id: len(TOKENIZER.encode(r.text or "", add_special_tokens=False).ids) for r in docs.collect()})

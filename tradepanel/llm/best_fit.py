@@ -119,6 +119,18 @@ def slot_ranges(patterns: Sequence[Pattern]) -> dict[str, np.ndarray]:
     return {n: np.array([r[i] for r in rows], np.int64) for i, n in enumerate(names)}
 
 
+def part_starts(counted: pa.Table, tags: int) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
+    """From pieces counted by ``part``, length times ``tags`` plus hash part: the parts in order, the pieces of the same length before each, and the pieces of each length."""
+    parts, n = (counted[c].to_numpy() for c in ("part", "n"))
+    order = np.argsort(parts)
+    parts, n = parts[order], n[order]
+    lengths, first = np.unique(parts // tags, return_index=True)
+    before = np.cumsum(n) - n
+    sums = np.add.reduceat(n, first) if len(n) else n
+    starts = before - np.repeat(before[first], np.diff(np.append(first, len(n))))
+    return parts, starts, dict(zip(lengths.tolist(), sums.tolist()))
+
+
 PACKED = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "piece", "start", "length", "bin_id", "capacity", "offset")])
 
 
@@ -134,9 +146,9 @@ def pack_documents(
     bin_id, capacity and offset). Repeated rows are packed as often as they stand there. An empty
     table gives no rows.
 
-    Two passes: the histogram of piece lengths, at most ``max(capacities)`` rows, goes to the driver
-    and is planned there. Row numbers within a length come from (length, hash part) groups, so a
-    length that most documents share is numbered by many tasks.
+    Two passes: the counts of pieces by length and hash part, at most ``max(capacities) * tags`` rows whatever the data size, go to the
+    driver; lengths are planned there, and each (length, part) gets the number its first piece has. Then pieces are numbered inside their
+    (length, part), so a length that most documents share is numbered by many tasks, and one sort is all that they go through.
     """
     most = max(capacities)
     if length is None:
@@ -146,26 +158,20 @@ def pack_documents(
     pieces = whole.select("doc_id", "_n", F.explode(cuts).alias("piece")).select(
         "doc_id", "piece", (F.col("piece") * most).alias("start"), F.least(F.col("_n") - F.col("piece") * most, F.lit(most)).alias("length")
     )
-    counted = pieces.where("length > 0").groupBy("length").agg(F.count(F.lit(1)).alias("n"))
-    histogram = {r["length"]: r["n"] for r in counted.collect()}  # one row per length, at most ``most``
+    tagged = pieces.withColumn("_tag", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(tags)).cast("long"))
+    counted = tagged.where("length > 0").groupBy((F.col("length") * tags + F.col("_tag")).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    parts, starts, histogram = part_starts(counted.toArrow(), tags)
     ranges = slot_ranges(plan_patterns(histogram, capacities, bin_cost))
-    sent = docs.sparkSession.sparkContext.broadcast(ranges)  # bounded by the largest capacity, not by the data
-
-    tagged = pieces.withColumn("_tag", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(tags)).cast("int"))
-    sizes = tagged.groupBy("length", "_tag").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy("length").orderBy("_tag")  # at most ``tags`` rows each
-    starts = sizes.select("length", "_tag", (F.sum("_rows").over(before) - F.col("_rows")).alias("_start"))
+    sent = docs.sparkSession.sparkContext.broadcast((ranges, parts, starts))  # bounded by the largest capacity and the tags, not by the data
     here = Window.partitionBy("length", "_tag").orderBy("doc_id", "piece")
-    numbered = (
-        tagged.withColumn("_row", F.row_number().over(here) - 1)
-        .join(starts, ["length", "_tag"])
-        .select("doc_id", "piece", "start", "length", (F.col("_start") + F.col("_row")).alias("number"))
-    )
+    numbered = tagged.withColumn("_row", F.row_number().over(here).cast("long") - 1)
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        r = sent.value
-        size, number = (np.asarray(batch[c]) for c in ("length", "number"))
+        r, parts, starts = sent.value
+        size, tag, row = (np.asarray(batch[c]) for c in ("length", "_tag", "_row"))
         none = size == 0
+        number = row.copy()
+        number[~none] += starts[np.searchsorted(parts, (size * tags + tag)[~none])]
         at = np.zeros(len(size), np.int64)
         left, right = np.searchsorted(r["length"], size, "left"), np.searchsorted(r["length"], size, "right")
         for value in np.unique(size[~none]):
