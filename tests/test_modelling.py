@@ -1,4 +1,5 @@
 import math
+import threading
 
 import pytest
 
@@ -65,3 +66,17 @@ def test_train_picks_the_best_and_predicts(panel):
 
 def test_short_product_names_are_known_products():
     assert set(PRODUCT_SHORT_NAMES.values()) | {"All Products"} == set(PRODUCT_OF_CODE.values())
+
+
+def test_candidates_and_folds_are_fitted_side_by_side(spark, monkeypatch):
+    rows = [(i, i % 6, float(i % 7), 2.0 * (i % 7) + i % 3) for i in range(60)]
+    folded = spark.createDataFrame(rows, "i int, fold int, a double, y double")
+    together, plain = threading.Barrier(10), models.fit
+
+    def fit(*args, **params):
+        together.wait(60)  # raises if the ten fits are not all there
+        return plain(*args, **params)
+
+    monkeypatch.setattr(models, "fit", fit)
+    means = modelling.compare_models(folded, ["a"], "y", {"ols": ("ols", {}), "ridge": ("ridge", {"alpha": 1.0})})
+    assert {r["model"]: r["r2"] > 0.9 for r in means.collect()} == {"ols": True, "ridge": True}

@@ -17,11 +17,12 @@ from tradepanel.operators.ordering import INDEX, with_row_index
 
 FOLD = "fold"
 PARALLEL_FITS = 4
+SMALL_FITS = 12  # fits at the same time whose models take little of the driver's memory
 
 
-def _side_by_side(work: Callable, items: Iterable) -> list:
+def _side_by_side(work: Callable, items: Iterable, threads: int = PARALLEL_FITS) -> list:
     """Results of independent Spark jobs started from a few threads, in order."""
-    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+    with ThreadPoolExecutor(threads) as pool:
         return list(pool.map(work, items))
 
 

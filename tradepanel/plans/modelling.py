@@ -66,11 +66,19 @@ def compare_models(
     folded: DataFrame, inputs: Sequence[str], label: str, candidates: dict[str, tuple[str, dict]],
     folds: Sequence[int] = (1, 2, 3, 4, 5),
 ) -> DataFrame:
-    """Mean fold metrics per candidate model, scored in one aggregation over all predictions."""
-    parts = []
-    for name, (kind, params) in candidates.items():
-        scored, _ = validation.fold_predictions(folded, inputs, label, kind, folds, **params)
-        parts.append(scored.select(F.lit(name).alias("model"), validation.FOLD, label, models.PREDICTION))
+    """Mean fold metrics per candidate model, scored in one aggregation over all predictions.
+
+    The fits of all candidates and folds run side by side, boosted trees first, as their many small jobs take longest.
+    """
+    ordered = sorted(candidates.items(), key=lambda c: c[1][0] != "boost")
+    tries = [(name, kind, params, k) for name, (kind, params) in ordered for k in folds]
+
+    def one(at: tuple) -> DataFrame:
+        name, kind, params, k = at
+        scored, _ = validation.fold_predictions(folded, inputs, label, kind, [k], **params)
+        return scored.select(F.lit(name).alias("model"), validation.FOLD, label, models.PREDICTION)
+
+    parts = validation._side_by_side(one, tries, validation.SMALL_FITS)
     scored = reduce(DataFrame.unionByName, parts)
     per_fold = validation.fold_metrics(
         scored, label, models.PREDICTION, len(inputs) + 1, ["model", validation.FOLD]
