@@ -1,9 +1,12 @@
 """Histogram boosting and staged searches against plain re-computation."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tradepanel.catalog import models as model_queries
 from tradepanel.operators import boosting, forests, models, validation
 
 SCHEMA = "id long, a double, b double, c double, y double, fold int"
@@ -118,3 +121,34 @@ def test_forest_search(rows):
     grid = validation.grid(trees=[2, 4], depth=[1, 3], min_rows=[2, 6])
     got = forests.search(rows, ["a", "b", "c"], "y", grid, [3, 5]).collect()
     assert len(got) == 8 and [r["r2"] for r in got] == sorted((r["r2"] for r in got), reverse=True) and got[0]["r2"] > 0.3
+
+
+def test_forests_and_boosted_trees_are_searched_at_the_same_time(spark, monkeypatch):
+    together = threading.Barrier(2)
+
+    def search(*args):
+        together.wait(60)  # raises if the other search is not there
+        return spark.createDataFrame([(0, "p", 0.5)], "candidate int, params string, r2 double")
+
+    monkeypatch.setattr(model_queries, "_panel_folds", lambda *a: None)
+    monkeypatch.setattr(forests, "search", search)
+    monkeypatch.setattr(boosting, "search", search)
+    assert [r["model"] for r in model_queries.grid_search(spark, "").collect()] == ["boost", "forest"]
+
+
+def test_rows_walk_down_trees_that_stop_early():
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 32, (500, 3)).astype(np.uint8)
+    for stop in range(16):
+        tree = boosting.Tree.empty(4)
+        tree.feature[:15], tree.cut[:15] = rng.integers(0, 3, 15), rng.integers(0, 31, 15)
+        tree.feature[stop] = -1
+        for depth in range(5):
+            want = []
+            for row in bins:
+                node = 0
+                for _ in range(depth):
+                    if tree.feature[node] >= 0:
+                        node = 2 * node + 1 + (row[tree.feature[node]] > tree.cut[node])
+                want.append(node)
+            assert boosting._walk(tree, bins, depth).tolist() == want

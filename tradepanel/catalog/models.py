@@ -337,12 +337,16 @@ def grid_search(spark, folder):
     """Forest and boosted-tree search over the full grids on all expanding folds, best first.
 
     Forests are scored at every size and depth of one fit, boosted trees after every stage of one model; all models of the boosted grid
-    grow in the same jobs.
+    grow in the same jobs. Both searches run at the same time, as neither has tasks for all cores.
     """
     folded = _panel_folds(spark, folder)
-    found = forests.search(folded, FEATURES, LABEL, validation.grid(**fixed.FOREST_GRID), range(1, 6)).withColumn("model", F.lit("forest"))
-    boosted = boosting.search(folded, FEATURES, LABEL, validation.grid(**fixed.BOOST_GRID), range(1, 6), F.xxhash64(*KEY))
-    return found.unionByName(boosted.withColumn("model", F.lit("boost"))).orderBy(F.col("r2").desc(), "model", "candidate")
+    searches = (
+        lambda: forests.search(folded, FEATURES, LABEL, validation.grid(**fixed.FOREST_GRID), range(1, 6)),
+        lambda: boosting.search(folded, FEATURES, LABEL, validation.grid(**fixed.BOOST_GRID), range(1, 6), F.xxhash64(*KEY)),
+    )
+    found, boosted = validation._side_by_side(lambda search: search(), searches)
+    both = found.withColumn("model", F.lit("forest")).unionByName(boosted.withColumn("model", F.lit("boost")))
+    return both.orderBy(F.col("r2").desc(), "model", "candidate")
 
 
 _SPLIT = {"large": "l_quantity > 30", "returned": "l_returnflag = 'R'", "rebated": "l_discount > 0.05"}

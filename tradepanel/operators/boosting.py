@@ -111,11 +111,16 @@ def binned(df: DataFrame, features: Sequence[str], edges: Sequence[np.ndarray],
 def _walk(tree: Tree, bins: np.ndarray, depth: int) -> np.ndarray:
     """The node of every row after ``depth`` levels, or the leaf where it stopped."""
     node = np.zeros(len(bins), np.int64)
+    if not depth or tree.feature[0] < 0:
+        return node
+    # Whatever does not hang on the row is worked out for each node once: its feature's column, and both ways out of it.
+    inner, own = tree.feature >= 0, np.arange(len(tree.feature))
+    column = np.where(inner, tree.feature, 0).astype(np.int64)
+    after = np.stack([np.where(inner, 2 * own + 1, own), np.where(inner, 2 * own + 2, own)], 1).ravel()
+    flat, start = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
     for _ in range(depth):
-        f = tree.feature[node]
-        inner = f >= 0
-        right = bins[np.arange(len(bins)), np.maximum(f, 0)] > tree.cut[node]
-        node = np.where(inner, 2 * node + 1 + right, node)
+        right = flat.take(column.take(node) + start) > tree.cut.take(node)
+        node = after.take(2 * node + right)
     return node
 
 
@@ -382,7 +387,7 @@ def search(
         if shape not in shapes:
             shapes.append(shape)
     settings = [(i, Setting(trees=stages[-1], train_below=k, test=k, **shape)) for i, shape in enumerate(shapes) for k in folds]
-    settings.sort(key=lambda x: x[1].depth)  # models of one depth share their jobs
+    settings.sort(key=lambda x: -x[1].depth)  # models of one depth share their jobs; the deepest take longest and begin first
     table = Table(folded, features, label, key, F.col(fold))
     size = -(-len(settings) // SIDE_BY_SIDE)
 
