@@ -152,3 +152,53 @@ def test_rows_walk_down_trees_that_stop_early():
                         node = 2 * node + 1 + (row[tree.feature[node]] > tree.cut[node])
                 want.append(node)
             assert boosting._walk(tree, bins, depth).tolist() == want
+
+
+def odd_rows(spark):
+    """Rows with missing features and labels, and keys that come twice, in several partitions."""
+    x, y, fold = made(900, 8)
+    data = [[i // 2, *map(float, v), float(t), int(k)] for i, (v, t, k) in enumerate(zip(x, y, fold))]
+    for column, every in ((1, 50), (4, 70)):
+        for r in data[::every]:
+            r[column] = None
+    return spark.createDataFrame([tuple(r) for r in data], SCHEMA).repartition(3)
+
+
+def test_models_grown_whole_in_tasks_are_those_grown_by_jobs(spark, monkeypatch):
+    rows = odd_rows(spark)
+    grid = validation.grid(trees=[2, 5], rate=[0.3], depth=[1, 4], subsample=[0.7, 1.0], l2=[1.0])
+    found = []
+    for most in (boosting.WHOLE_BYTES, 0):
+        monkeypatch.setattr(boosting, "WHOLE_BYTES", most)
+        got = boosting.search(rows, ["a", "b", "c"], "y", grid, [1, 3, 5], F.col("id")).collect()
+        found.append({r["candidate"]: (r["params"], r["r2"]) for r in got})
+    whole, shared = found
+    assert len(whole) == 8 and {k: v[0] for k, v in whole.items()} == {k: v[0] for k, v in shared.items()}
+    assert [whole[k][1] for k in range(8)] == pytest.approx([shared[k][1] for k in range(8)], rel=1e-9)
+
+
+def test_search_over_few_rows_takes_few_jobs(spark, rows):
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    got = boosting.search(rows, ["a", "b", "c"], "y", validation.grid(trees=[10, 20], depth=[3]), [2, 5], F.col("id")).collect()
+    assert len(got) == 2 and len(set(tracker.getJobIdsForGroup(None)) - before) < 20
+
+
+def test_search_of_no_rows(rows):
+    got = boosting.search(rows.limit(0), ["a", "b", "c"], "y", validation.grid(trees=[1, 2], depth=[2]), [2, 5], F.col("id")).collect()
+    assert len(got) == 2 and all(np.isnan(r["r2"]) for r in got)
+
+
+def test_forest_search_keeps_node_ids_of_few_rows(rows, monkeypatch):
+    grid, asked, fit = validation.grid(trees=[3], depth=[2, 5], min_rows=[4]), [], models.fit
+
+    def recorded(*args, **params):
+        asked.append(params["node_ids"])
+        return fit(*args, **params)
+
+    monkeypatch.setattr(models, "fit", recorded)
+    found = []
+    for most in (forests.NODE_IDS_ROWS, 0):
+        monkeypatch.setattr(forests, "NODE_IDS_ROWS", most)
+        found.append({r["candidate"]: r["r2"] for r in forests.search(rows, ["a", "b", "c"], "y", grid, [3, 5]).collect()})
+    assert asked == [True, True, False, False] and found[0] == pytest.approx(found[1], rel=1e-12)

@@ -7,12 +7,15 @@ longest model. The scores of all models after any number of trees come from the
 
 The state of a row is its running score in every model. It is written to the shared folder after some trees, which cuts the lineage;
 between two writings it is computed from the trees grown since.
+
+With few rows nearly all of that time goes to starting jobs. So where the binned rows of a search take no more than ``WHOLE_BYTES``, every task
+gets all of them and grows one model from its first tree to its last, by the same histograms and splits: one job for the whole search.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -31,6 +34,7 @@ BINS = 32
 WRITTEN_EVERY = 2  # trees between two writings of the scores
 ROWS_AT_ONCE = 8192
 SIDE_BY_SIDE = 8  # groups of models whose jobs run at the same time
+WHOLE_BYTES = 16 << 20  # of binned rows, up to which a task of a search holds all of them; they go through the driver once
 
 
 @dataclass(frozen=True)
@@ -145,13 +149,20 @@ def _strength(g, n, s: Setting):
 class _Rows:
     """The rows of one batch with the scores of all models."""
 
-    def __init__(self, batch: pa.RecordBatch, width: int, models: int, bases: np.ndarray, since: list[list[Tree]]):
+    def __init__(self, batch: pa.RecordBatch, width: int, models: int, bases: np.ndarray, since: list[list[Tree | None]]):
         n = len(batch)
         self.bins = np.frombuffer(b"".join(batch["bins"].to_pylist()), np.uint8).reshape(n, width) if width else np.zeros((n, 0), np.uint8)
         self.label, self.fold, self.key = (batch[c].to_numpy(zero_copy_only=False) for c in ("label", "fold", "key"))
         self.scores = np.tile(bases, (n, 1))
         if "scores" in batch.schema.names:
             self.scores = np.frombuffer(b"".join(batch["scores"].to_pylist()), np.float64).reshape(n, models).copy()
+        self.add(since)
+
+    def keep(self, rows: np.ndarray) -> None:
+        self.bins, self.label, self.fold, self.key, self.scores = (x[rows] for x in (self.bins, self.label, self.fold, self.key, self.scores))
+
+    def add(self, since: list[list[Tree | None]]) -> None:
+        """Bring the scores up to date by the trees grown since."""
         for turn in since:
             for m, tree in enumerate(turn):
                 if tree is not None:
@@ -174,7 +185,48 @@ def _added(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays(columns, names=["model", "node", "sums"])
 
 
-def _batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sums(groups: Iterable[_Rows], partial: dict[int, Tree], settings: Sequence[Setting], turn: int, level: int, most: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """For the nodes that the growing trees ``partial`` have on a level: sums of residuals and row counts by (feature, bin), over these rows."""
+    sums: dict[int, np.ndarray] = {}
+    first, nodes, width = 2**level - 1, 2**level, 0
+    for rows in groups:
+        width = rows.bins.shape[1]
+        cells = nodes * width * most
+        place = np.arange(width) * most + rows.bins
+        for m, tree in partial.items():
+            s = settings[m]
+            take = np.ones(len(rows.label), bool) if s.train_below is None else rows.fold < s.train_below
+            if s.subsample < 1:
+                take &= _uniform(rows.key, s.seed, turn) < s.subsample
+            node = _walk(tree, rows.bins, level)
+            take &= node >= first
+            if not take.any():
+                continue
+            at = ((node[take] - first) * (width * most))[:, None] + place[take]
+            residual = np.repeat((rows.label - rows.scores[:, m])[take], width)
+            both = sums.setdefault(m, np.zeros((2, cells)))
+            both[0] += np.bincount(at.ravel(), residual, cells)
+            both[1] += np.bincount(at.ravel(), minlength=cells)
+    for m, both in sums.items():
+        for k in range(nodes):
+            part = both[:, k * width * most : (k + 1) * width * most]
+            if part[1].any():
+                yield m, first + k, part
+
+
+def _errors(groups: Iterable[_Rows], settings: Sequence[Setting]) -> np.ndarray:
+    """Of each model, over its test fold: rows, squared and absolute errors, sums of labels and of their squares."""
+    sums = np.zeros((len(settings), len(SUMS)))
+    for r in groups:
+        for m, s in enumerate(settings):
+            take = np.ones(len(r.label), bool) if s.test is None else r.fold == s.test
+            y = r.label[take]
+            error = y - r.scores[take, m]
+            sums[m] += [len(y), error @ error, np.abs(error).sum(), y.sum(), y @ y]
+    return sums
+
+
+def _batches(source: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in source:
         for at in range(0, len(batch), ROWS_AT_ONCE):
             yield batch.slice(at, ROWS_AT_ONCE)
@@ -189,31 +241,31 @@ class Table:
         self.edges = bin_edges(complete, features, bins)
         self.rows = materialise(binned(complete, features, self.edges, label, key, F.lit(0) if fold is None else fold), "binned")
         self.parts = self.rows.rdd.getNumPartitions()
-        self.folds = {r["fold"]: r for r in self.rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("s")).collect()}
+        counts = self.rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("s")).collect()
+        self.folds = {r["fold"]: (r["n"], r["s"]) for r in counts}
 
+    def size(self) -> int:
+        """Bytes of the binned rows in Arrow: bins with their offset, label, fold and key."""
+        return sum(n for n, _ in self.folds.values()) * (len(self.features) + 4 + 8 + 4 + 8)
 
-class Ensemble:
-    """Models that grow together on one table of binned rows."""
 
-    def __init__(self, table: Table, settings: Sequence[Setting]):
-        self.features, self.settings, self.rows, self.edges, self.parts = table.features, list(settings), table.rows, table.edges, table.parts
+class _Growing:
+    """Models that grow together, a tree at a time; the kinds below differ in where the rows are. It names nothing outside this module, so that it travels."""
+
+    written_every = 1  # trees between two calls of ``_write``
+
+    def __init__(self, features: Sequence[str], edges: Sequence[np.ndarray], folds: dict[int | None, tuple[int, float]], settings: Sequence[Setting]):
+        self.features, self.edges, self.settings = list(features), list(edges), list(settings)
+        self.most = max([len(e) for e in self.edges], default=0) + 1
         self.models = []
         for s in self.settings:
-            part = [r for k, r in table.folds.items() if s.train_below is None or k is not None and k < s.train_below]
-            n = sum(r["n"] for r in part)
-            self.models.append(Boosted(self.features, self.edges, sum(r["s"] for r in part) / n if n else 0.0, s))
+            part = [x for k, x in folds.items() if s.train_below is None or k is not None and k < s.train_below]
+            n = sum(rows for rows, _ in part)
+            self.models.append(Boosted(self.features, self.edges, sum(total for _, total in part) / n if n else 0.0, s))
         self.bases = np.array([m.base for m in self.models])
         self.since: list[list[Tree | None]] = []
         self.turn = 0
 
-    def _run(self, work, schema: str, since) -> DataFrame:
-        width, models, bases, settings = len(self.features), len(self.models), self.bases, self.settings
-
-        def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from work((_Rows(b, width, models, bases, since) for b in _batches(source)), settings)
-
-        return self.rows.mapInArrow(run, schema)
-
     def grow(self) -> None:
         """One more tree for every model that has not all of its own."""
         growing = [m for m, s in enumerate(self.settings) if self.turn < s.trees]
@@ -234,7 +286,7 @@ class Ensemble:
             self.models[m].trees.append(trees[m])
         self.since.append([trees.get(m) for m in range(len(self.models))])
         self.turn += 1
-        if len(self.since) >= WRITTEN_EVERY:
+        if len(self.since) >= self.written_every:
             self._write()
 
     def _columns(self, m: int) -> np.ndarray:
@@ -245,47 +297,6 @@ class Ensemble:
         drawn = np.random.default_rng([s.seed, self.turn]).permutation(width)
         return np.sort(drawn[: max(1, round(s.columns * width))])
 
-    def _histograms(self, now: list[int], trees: dict[int, Tree], level: int) -> Iterator[tuple[int, int, np.ndarray]]:
-        """For every open node of the models ``now``: sums of residuals and row counts by (feature, bin)."""
-        width = len(self.features)
-        most = max([len(e) for e in self.edges], default=0) + 1
-        partial, turn = {m: trees[m] for m in now}, self.turn
-        first, nodes = 2**level - 1, 2**level
-
-        def work(groups: Iterator[_Rows], settings: list[Setting]) -> Iterator[pa.RecordBatch]:
-            sums: dict[int, np.ndarray] = {}
-            cells = nodes * width * most
-            for rows in groups:
-                place = np.arange(width) * most + rows.bins
-                for m, tree in partial.items():
-                    s = settings[m]
-                    take = np.ones(len(rows.label), bool) if s.train_below is None else rows.fold < s.train_below
-                    if s.subsample < 1:
-                        take &= _uniform(rows.key, s.seed, turn) < s.subsample
-                    node = _walk(tree, rows.bins, level)
-                    take &= node >= first
-                    if not take.any():
-                        continue
-                    at = ((node[take] - first) * (width * most))[:, None] + place[take]
-                    residual = np.repeat((rows.label - rows.scores[:, m])[take], width)
-                    both = sums.setdefault(m, np.zeros((2, cells)))
-                    both[0] += np.bincount(at.ravel(), residual, cells)
-                    both[1] += np.bincount(at.ravel(), minlength=cells)
-            out = [(m, first + k, both[:, k * width * most : (k + 1) * width * most]) for m, both in sums.items() for k in range(nodes)]
-            out = [x for x in out if x[2][1].any()]
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2].ravel() for x in out], pa.list_(pa.float64()))],
-                    names=["model", "node", "sums"],
-                )
-
-        parts = self._run(work, "model int, node int, sums array<double>", self.since)
-        if self.parts > 1:
-            parts = parts.repartition("model", "node").mapInArrow(_added, "model int, node int, sums array<double>")
-        table = parts.toArrow()
-        for m, node, sums in zip(table["model"].to_pylist(), table["node"].to_pylist(), table["sums"]):
-            yield m, node, np.asarray(sums.values).reshape(2, width, most)
-
     def _split(self, m: int, tree: Tree, node: int, table: np.ndarray, allowed: np.ndarray) -> list[int]:
         """Split a node by its best cut, if one gains; its children, open for the next level."""
         s, model = self.settings[m], self.models[m]
@@ -306,6 +317,43 @@ class Ensemble:
             tree.value[child] = _leaf(x[f, cut], y[f, cut], s)
         return [2 * node + 1, 2 * node + 2]
 
+
+class Ensemble(_Growing):
+    """Models that grow together on one table of binned rows, a job for each level."""
+
+    written_every = WRITTEN_EVERY
+
+    def __init__(self, table: Table, settings: Sequence[Setting]):
+        super().__init__(table.features, table.edges, table.folds, settings)
+        self.rows, self.parts = table.rows, table.parts
+
+    def _run(self, work, schema: str, since) -> DataFrame:
+        width, models, bases, settings = len(self.features), len(self.models), self.bases, self.settings
+
+        def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from work((_Rows(b, width, models, bases, since) for b in _batches(source)), settings)
+
+        return self.rows.mapInArrow(run, schema)
+
+    def _histograms(self, now: list[int], trees: dict[int, Tree], level: int) -> Iterator[tuple[int, int, np.ndarray]]:
+        """For every open node of the models ``now``: sums of residuals and row counts by (feature, bin)."""
+        most, partial, turn = self.most, {m: trees[m] for m in now}, self.turn
+
+        def work(groups: Iterator[_Rows], settings: list[Setting]) -> Iterator[pa.RecordBatch]:
+            out = list(_sums(groups, partial, settings, turn, level, most))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2].ravel() for x in out], pa.list_(pa.float64()))],
+                    names=["model", "node", "sums"],
+                )
+
+        parts = self._run(work, "model int, node int, sums array<double>", self.since)
+        if self.parts > 1:
+            parts = parts.repartition("model", "node").mapInArrow(_added, "model int, node int, sums array<double>")
+        table = parts.toArrow()
+        for m, node, sums in zip(table["model"].to_pylist(), table["node"].to_pylist(), table["sums"]):
+            yield m, node, np.asarray(sums.values).reshape(2, len(self.features), most)
+
     def _write(self) -> None:
         def work(groups: Iterator[_Rows], settings: list[Setting]) -> Iterator[pa.RecordBatch]:
             for r in groups:
@@ -319,19 +367,38 @@ class Ensemble:
         """Of each model, over its test fold as the trees stand now: rows, squared and absolute errors, sums of labels and of their squares."""
 
         def work(groups: Iterator[_Rows], settings: list[Setting]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((len(settings), 5))
-            for r in groups:
-                for m, s in enumerate(settings):
-                    take = np.ones(len(r.label), bool) if s.test is None else r.fold == s.test
-                    y = r.label[take]
-                    error = y - r.scores[take, m]
-                    sums[m] += [len(y), error @ error, np.abs(error).sum(), y.sum(), y @ y]
+            sums = _errors(groups, settings)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(settings), dtype=np.int32)), *[pa.array(c) for c in sums.T.copy()]], names=["model", *SUMS])
 
         parts = self._run(work, "model int, " + ", ".join(f"{c} double" for c in SUMS), self.since)
         return {r["model"]: tuple(r[c] for c in SUMS) for r in parts.groupBy("model").agg(*[F.sum(c).alias(c) for c in SUMS]).collect()}
 
 
+class _Whole(_Growing):
+    """Models that grow in one task, which holds all the rows that they train on or are scored on."""
+
+    def __init__(self, batches: Iterable[pa.RecordBatch], features: Sequence[str], edges: Sequence[np.ndarray], folds: dict[int | None, tuple[int, float]], settings: Sequence[Setting]):
+        super().__init__(features, edges, folds, settings)
+        self.groups = [_Rows(b, len(self.features), len(self.models), self.bases, []) for b in _batches(batches)]
+        for rows in self.groups:
+            used = np.zeros(len(rows.label), bool)
+            for s in self.settings:
+                used |= (s.train_below is None) | (s.test is None) | (rows.fold < (s.train_below or 0)) | (rows.fold == s.test)
+            rows.keep(used)
+
+    def _histograms(self, now: list[int], trees: dict[int, Tree], level: int) -> Iterator[tuple[int, int, np.ndarray]]:
+        for m, node, sums in _sums(self.groups, {m: trees[m] for m in now}, self.settings, self.turn, level, self.most):
+            yield m, node, sums.reshape(2, len(self.features), self.most)
+
+    def _write(self) -> None:
+        for rows in self.groups:
+            rows.add(self.since)
+        self.since = []
+
+    def test_sums(self) -> dict[int, tuple[float, ...]]:
+        return {m: tuple(sums) for m, sums in enumerate(_errors(self.groups, self.settings).tolist())}
+
+
 SUMS = ["n", "sse", "sae", "sy", "syy"]
 
 
@@ -373,6 +440,49 @@ def predict(model: Boosted, df: DataFrame, out: str = "prediction") -> DataFrame
     return inputs.mapInArrow(run, schema)
 
 
+def _shared_stages(table: Table, settings: Sequence[Setting], stages: Sequence[int]) -> list[list[tuple[float, ...]]]:
+    """Of each model, the sums over its test fold after so many trees. Groups of models share their jobs, and each task holds its share of the rows."""
+
+    def grown(group: Sequence[Setting]) -> list[list[tuple[float, ...]]]:
+        ensemble, out = Ensemble(table, group), [[] for _ in group]
+        for turn in range(1, stages[-1] + 1):
+            ensemble.grow()
+            if turn in stages:
+                for m, sums in ensemble.test_sums().items():
+                    out[m].append(sums)
+        return out
+
+    size = -(-len(settings) // SIDE_BY_SIDE)
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        return [x for out in pool.map(grown, [settings[at : at + size] for at in range(0, len(settings), size)]) for x in out]
+
+
+def _whole_stages(table: Table, settings: Sequence[Setting], stages: Sequence[int]) -> list[list[tuple[float, ...]]]:
+    """The same sums, with a task for each model that holds all rows."""
+    spark, features, edges, folds, settings = table.rows.sparkSession, table.features, table.edges, table.folds, list(settings)
+    rows = table.rows.toArrow()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as stream:
+        stream.write_table(rows)
+    sent = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
+    stages = list(stages)
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for m in (m for batch in source for m in batch["id"].to_pylist()):
+            model, out = _Whole(pa.ipc.open_stream(sent.value), features, edges, folds, [settings[m]]), []
+            for turn in range(1, stages[-1] + 1):
+                model.grow()
+                if turn in stages:
+                    out.append((m, turn, *model.test_sums()[0]))
+            kinds = [pa.int32(), pa.int32(), *[pa.float64()] * len(SUMS)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["model", "turn", *SUMS])
+
+    each = spark.range(0, len(settings), 1, len(settings)).mapInArrow(run, "model int, turn int, " + ", ".join(f"{c} double" for c in SUMS))
+    found = {(r["model"], r["turn"]): tuple(r[c] for c in SUMS) for r in each.collect()}
+    sent.unpersist()
+    return [[found[m, turn] for turn in stages] for m in range(len(settings))]
+
+
 def search(
     folded: DataFrame, features: Sequence[str], label: str, candidates: Sequence[dict], folds: Sequence[int], key: Column, fold: str = "fold",
 ) -> DataFrame:
@@ -389,21 +499,11 @@ def search(
     settings = [(i, Setting(trees=stages[-1], train_below=k, test=k, **shape)) for i, shape in enumerate(shapes) for k in folds]
     settings.sort(key=lambda x: -x[1].depth)  # models of one depth share their jobs; the deepest take longest and begin first
     table = Table(folded, features, label, key, F.col(fold))
-    size = -(-len(settings) // SIDE_BY_SIDE)
-
-    def grown(group: list[tuple[int, Setting]]) -> list[tuple[int, int, float]]:
-        ensemble, out = Ensemble(table, [s for _, s in group]), []
-        for turn in range(1, stages[-1] + 1):
-            ensemble.grow()
-            if turn in stages:
-                out += [(group[m][0], turn, r2(sums)) for m, sums in ensemble.test_sums().items()]
-        return out
-
+    work = _whole_stages if table.size() <= WHOLE_BYTES else _shared_stages
     scores: dict[tuple[int, int], list[float]] = {}
-    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-        for found in pool.map(grown, [settings[at : at + size] for at in range(0, len(settings), size)]):
-            for shape, turn, score in found:
-                scores.setdefault((shape, turn), []).append(score)
+    for (shape, _), found in zip(settings, work(table, [s for _, s in settings], stages)):
+        for turn, sums in zip(stages, found):
+            scores.setdefault((shape, turn), []).append(r2(sums))
     rows = []
     for i, c in enumerate(candidates):
         shape = shapes.index({k: v for k, v in c.items() if k != "trees"})

@@ -23,6 +23,10 @@ from tradepanel.session import fresh_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Rows up to which a fit keeps the node that every row has reached in every tree, 4 bytes each, so that tasks need not get all trees at every level.
+# The trees are the same either way.
+NODE_IDS_ROWS = 1 << 18
+
 
 def tree_arrays(spark: SparkSession, model: PipelineModel) -> list[tuple[np.ndarray, ...]]:
     """Each tree as (feature or -1, threshold, left, right, value) by node, read from the saved model."""
@@ -82,13 +86,15 @@ def search(folded: DataFrame, features: Sequence[str], label: str, candidates: S
     """Mean fold R2 of every parameter set (``trees``, ``depth``, ``min_rows``), best first, each trained on the folds before the one it is scored on."""
     from tradepanel.operators.validation import _side_by_side
 
+    few = folded.count() <= NODE_IDS_ROWS
     depths, sizes = sorted({c["depth"] for c in candidates}), sorted({c["trees"] for c in candidates})
-    tries = [(m, k) for m in sorted({c["min_rows"] for c in candidates}) for k in folds]
+    # The latest folds have the most rows to train on; their fits take longest and begin first.
+    tries = [(m, k) for k in sorted(folds, reverse=True) for m in sorted({c["min_rows"] for c in candidates})]
 
     def one(at: tuple[int, int]) -> dict[tuple[int, int], tuple[float, ...]]:
         least, k = at
         train = folded.where(F.col(fold) < k)
-        model = models.fit(train, features, label, "forest", scale=False, trees=sizes[-1], depth=depths[-1], min_rows=least)
+        model = models.fit(train, features, label, "forest", scale=False, trees=sizes[-1], depth=depths[-1], min_rows=least, node_ids=few)
         return staged_sums(model, folded.where(F.col(fold) == k), label, depths, sizes)
 
     found = dict(zip(tries, _side_by_side(one, tries)))

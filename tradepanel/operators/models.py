@@ -54,7 +54,7 @@ def estimator(kind: str, df: DataFrame, label: str, **params):
         return RandomForestRegressor(
             numTrees=params.get("trees", 100), maxDepth=params.get("depth", 5),
             minInstancesPerNode=max(1, params.get("min_rows", 2) // 2),
-            maxBins=params.get("bins", 32), featureSubsetStrategy="all", seed=42, **common
+            maxBins=params.get("bins", 32), featureSubsetStrategy="all", seed=42, cacheNodeIds=params.get("node_ids", False), **common
         )
     if kind == "boost":
         return GBTRegressor(
