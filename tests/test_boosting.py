@@ -189,16 +189,16 @@ def test_search_of_no_rows(rows):
     assert len(got) == 2 and all(np.isnan(r["r2"]) for r in got)
 
 
-def test_forest_search_keeps_node_ids_of_few_rows(rows, monkeypatch):
+def test_forest_search_over_few_rows_finds_the_same_trees(rows, monkeypatch):
     grid, asked, fit = validation.grid(trees=[3], depth=[2, 5], min_rows=[4]), [], models.fit
 
     def recorded(*args, **params):
-        asked.append(params["node_ids"])
+        asked.append("node_ids" in params)
         return fit(*args, **params)
 
     monkeypatch.setattr(models, "fit", recorded)
     found = []
-    for most in (forests.NODE_IDS_ROWS, 0):
-        monkeypatch.setattr(forests, "NODE_IDS_ROWS", most)
+    for most in (forests.FEW_ROWS, 0):
+        monkeypatch.setattr(forests, "FEW_ROWS", most)
         found.append({r["candidate"]: r["r2"] for r in forests.search(rows, ["a", "b", "c"], "y", grid, [3, 5]).collect()})
     assert asked == [True, True, False, False] and found[0] == pytest.approx(found[1], rel=1e-12)

@@ -10,7 +10,7 @@ from tradepanel.catalog.features import FEATURES, KEY, LABEL, written_model_rows
 from tradepanel.catalog.registry import query
 from tradepanel.functions import fixed_values as fixed
 from tradepanel.functions.scalars import log_floor
-from tradepanel.operators import boosting, forests, joins, models, validation
+from tradepanel.operators import boosting, joins, models, validation
 from tradepanel.plans import modelling
 from tradepanel.session import fresh_path, materialise
 from tradepanel.sources.stores import load_model, save_model
@@ -253,8 +253,9 @@ def holdout(spark, folder):
 
 
 def _panel_folds(spark, folder):
-    """Model rows with their time fold, written once for all fits."""
-    return materialise(validation.expanding_folds(written_model_rows(spark, folder), KEY), "folded")
+    """Model rows with their time fold and the hash of their key, written once for all fits."""
+    folded = validation.expanding_folds(written_model_rows(spark, folder), KEY)
+    return materialise(folded.withColumn(boosting.ROW_KEY, F.xxhash64(*KEY)), "folded")
 
 
 _PANEL_FOLDS = """
@@ -336,15 +337,13 @@ def search_all_features(spark, folder):
 def grid_search(spark, folder):
     """Forest and boosted-tree search over the full grids on all expanding folds, best first.
 
-    Forests are scored at every size and depth of one fit, boosted trees after every stage of one model; all models of the boosted grid
-    grow in the same jobs. Both searches run at the same time, as neither has tasks for all cores.
+    Forests are scored at every size and depth of one fit, boosted trees after every stage of one model; models of the boosted grid
+    grow side by side. Both searches run at the same time, as neither has tasks for all cores.
     """
     folded = _panel_folds(spark, folder)
-    searches = (
-        lambda: forests.search(folded, FEATURES, LABEL, validation.grid(**fixed.FOREST_GRID), range(1, 6)),
-        lambda: boosting.search(folded, FEATURES, LABEL, validation.grid(**fixed.BOOST_GRID), range(1, 6), F.xxhash64(*KEY)),
-    )
-    found, boosted = validation._side_by_side(lambda search: search(), searches)
+    grids = (("forest", fixed.FOREST_GRID), ("boost", fixed.BOOST_GRID))
+    searches = [(folded, FEATURES, LABEL, kind, validation.grid(**axes), range(1, 6)) for kind, axes in grids]
+    found, boosted = validation._side_by_side(lambda one: validation.search(*one), searches)
     both = found.withColumn("model", F.lit("forest")).unionByName(boosted.withColumn("model", F.lit("boost")))
     return both.orderBy(F.col("r2").desc(), "model", "candidate")
 

@@ -31,6 +31,7 @@ from tradepanel.session import materialise
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BINS = 32
+ROW_KEY = "row_key"
 WRITTEN_EVERY = 2  # trees between two writings of the scores
 ROWS_AT_ONCE = 8192
 SIDE_BY_SIDE = 8  # groups of models whose jobs run at the same time
@@ -479,17 +480,20 @@ def _whole_stages(table: Table, settings: Sequence[Setting], stages: Sequence[in
 
     each = spark.range(0, len(settings), 1, len(settings)).mapInArrow(run, "model int, turn int, " + ", ".join(f"{c} double" for c in SUMS))
     found = {(r["model"], r["turn"]): tuple(r[c] for c in SUMS) for r in each.collect()}
-    sent.unpersist()
+    sent.destroy()
     return [[found[m, turn] for turn in stages] for m in range(len(settings))]
 
 
 def search(
-    folded: DataFrame, features: Sequence[str], label: str, candidates: Sequence[dict], folds: Sequence[int], key: Column, fold: str = "fold",
+    folded: DataFrame, features: Sequence[str], label: str, candidates: Sequence[dict], folds: Sequence[int], key: Column | None = None, fold: str = "fold",
 ) -> DataFrame:
     """Mean fold R2 of every parameter set, best first, each trained on the folds before the one it is scored on.
 
+    ``key`` tells rows apart for subsampling; without one it is the column ``ROW_KEY``, or a hash of the whole row.
     Sets that differ only in ``trees`` are one model, scored when it has as many trees; models of all folds grow together.
     """
+    if key is None:
+        key = F.col(ROW_KEY) if ROW_KEY in folded.columns else F.xxhash64(*folded.columns)
     stages = sorted({c["trees"] for c in candidates})
     shapes: list[dict] = []
     for c in candidates:

@@ -25,7 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Rows up to which a fit keeps the node that every row has reached in every tree, 4 bytes each, so that tasks need not get all trees at every level.
 # The trees are the same either way.
-NODE_IDS_ROWS = 1 << 18
+FEW_ROWS = 1 << 18
 
 
 def tree_arrays(spark: SparkSession, model: PipelineModel) -> list[tuple[np.ndarray, ...]]:
@@ -35,14 +35,16 @@ def tree_arrays(spark: SparkSession, model: PipelineModel) -> list[tuple[np.ndar
     nodes = spark.read.parquet(f"{path}/data").select(
         "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild", "nodeData.rightChild", F.col("nodeData.split.featureIndex").alias("feature"),
         F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
-    ).orderBy("treeID", "id").toArrow()
+    ).toArrow()
     columns = {c: nodes[c].to_numpy() for c in nodes.column_names}
+    order = np.lexsort((columns["id"], columns["treeID"]))
+    columns = {c: v[order] for c, v in columns.items()}
     out = []
     for part in np.split(np.arange(nodes.num_rows), np.flatnonzero(np.diff(columns["treeID"])) + 1):
-        left = columns["leftChild"][part].astype(np.int64)
-        feature = np.where(left >= 0, columns["feature"][part].astype(np.int64), -1)
+        left = columns["leftChild"][part].astype(np.int32)
+        feature = np.where(left >= 0, columns["feature"][part].astype(np.int32), -1)
         threshold = np.nan_to_num(columns["threshold"][part].astype(np.float64))
-        out.append((feature, threshold, left, columns["rightChild"][part].astype(np.int64), columns["prediction"][part].astype(np.float64)))
+        out.append((feature, threshold, left, columns["rightChild"][part].astype(np.int32), columns["prediction"][part].astype(np.float64)))
     return out
 
 
@@ -79,6 +81,7 @@ def staged_sums(model: PipelineModel, rows: DataFrame, label: str, depths: Seque
     data = rows.select(*[F.col(c).cast("double").alias(f"_x{k}") for k, c in enumerate(inputs)], F.col(label).cast("double").alias("_y")).dropna()
     parts = data.mapInArrow(run, "depth int, trees int, " + ", ".join(f"{c} double" for c in SUMS))
     added = parts.groupBy("depth", "trees").agg(*[F.sum(c).alias(c) for c in SUMS]).collect()
+    sent.destroy()
     return {(r["depth"], r["trees"]): tuple(r[c] for c in SUMS) for r in added}
 
 
@@ -86,20 +89,20 @@ def search(folded: DataFrame, features: Sequence[str], label: str, candidates: S
     """Mean fold R2 of every parameter set (``trees``, ``depth``, ``min_rows``), best first, each trained on the folds before the one it is scored on."""
     from tradepanel.operators.validation import _side_by_side
 
-    few = folded.count() <= NODE_IDS_ROWS
+    how = {"node_ids": True} if folded.count() <= FEW_ROWS else {}
     depths, sizes = sorted({c["depth"] for c in candidates}), sorted({c["trees"] for c in candidates})
     # The latest folds have the most rows to train on; their fits take longest and begin first.
-    tries = [(m, k) for k in sorted(folds, reverse=True) for m in sorted({c["min_rows"] for c in candidates})]
+    tries = [(m, k) for k in sorted(folds, reverse=True) for m in sorted({c.get("min_rows", 2) for c in candidates})]
 
     def one(at: tuple[int, int]) -> dict[tuple[int, int], tuple[float, ...]]:
         least, k = at
         train = folded.where(F.col(fold) < k)
-        model = models.fit(train, features, label, "forest", scale=False, trees=sizes[-1], depth=depths[-1], min_rows=least, node_ids=few)
+        model = models.fit(train, features, label, "forest", scale=False, trees=sizes[-1], depth=depths[-1], min_rows=least, **how)
         return staged_sums(model, folded.where(F.col(fold) == k), label, depths, sizes)
 
     found = dict(zip(tries, _side_by_side(one, tries)))
     rows = []
     for i, c in enumerate(candidates):
-        score = np.mean([r2(found[c["min_rows"], k][c["depth"], c["trees"]]) for k in folds])
+        score = np.mean([r2(found[c.get("min_rows", 2), k][c["depth"], c["trees"]]) for k in folds])
         rows.append((i, ", ".join(f"{k}={v}" for k, v in c.items()), float(score)))
     return folded.sparkSession.createDataFrame(rows, "candidate int, params string, r2 double").orderBy(F.col("r2").desc(), "candidate")

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradepanel.operators import models
+from tradepanel.operators import boosting, forests, models
 from tradepanel.operators.features import moments
 from tradepanel.operators.ordering import INDEX, with_row_index
 
@@ -153,9 +153,14 @@ def search(
 ) -> DataFrame:
     """Mean fold R2 of every parameter set, best first.
 
-    ``forward`` trains on earlier folds only; otherwise on all other folds. Each fit is
-    a Spark job over the whole training part; all scores are taken in one aggregation.
+    ``forward`` trains on earlier folds only; otherwise on all other folds. Forward searches
+    over trees are staged. Each fit of the others is a Spark job over the whole training part;
+    all scores are taken in one aggregation.
     """
+    if forward and kind == "forest":
+        return forests.search(folded, features, label, candidates, folds)
+    if forward and kind == "boost":
+        return boosting.search(folded, features, label, candidates, folds)
     tries = [(i, params, k) for i, params in enumerate(candidates) for k in folds]
 
     def score(one: tuple) -> DataFrame:
